@@ -26,6 +26,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clauseworks.session import checkpointed
 
@@ -115,7 +116,10 @@ def plain_form(word: str, script: str) -> tuple[str, list[str]]:
     return out, sorted(set(kinds))
 
 
-@F.pandas_udf("struct<plain:string,kinds:array<string>>")
+_PLAIN = T.StructType([T.StructField("plain", T.StringType()), T.StructField("kinds", T.ArrayType(T.StringType()))])
+
+
+@F.pandas_udf(_PLAIN)
 def _plain_udf(word: pd.Series, script: pd.Series) -> pd.DataFrame:
     done = [plain_form(w, s) for w, s in zip(word, script)]
     return pd.DataFrame({"plain": [d[0] for d in done], "kinds": [d[1] for d in done]})
