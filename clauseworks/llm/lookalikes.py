@@ -119,8 +119,7 @@ def plain_form(word: str, script: str) -> tuple[str, list[str]]:
 _PLAIN = T.StructType([T.StructField("plain", T.StringType()), T.StructField("kinds", T.ArrayType(T.StringType()))])
 
 
-@F.pandas_udf(_PLAIN)
-def _plain_udf(word: pd.Series, script: pd.Series) -> pd.DataFrame:
+def _plain_frame(word: pd.Series, script: pd.Series) -> pd.DataFrame:
     done = [plain_form(w, s) for w, s in zip(word, script)]
     return pd.DataFrame({"plain": [d[0] for d in done], "kinds": [d[1] for d in done]})
 
@@ -168,7 +167,7 @@ CLASSES_SQL = """
 def canonical_words(words: DataFrame) -> DataFrame:
     """(script, word, canonical, kinds) of every spelling that is not its class's canonical member."""
     counted = words.groupBy("script", "word").agg(F.count(F.lit(1)).alias("n"))
-    mapped = counted.withColumn("f", _plain_udf("word", "script"))
+    mapped = counted.withColumn("f", F.pandas_udf(_plain_frame, _PLAIN)("word", "script"))
     # words of letters both alphabets have look the same in either: one class, most frequent spelling wins
     twin = F.translate("f.plain", "".join(LATIN_CYRILLIC), "".join(LATIN_CYRILLIC.values()))
     plain_twin = (F.col("script") == "cyr") & F.col("word").rlike(f"^[{_BOTH}]+$")
