@@ -11,7 +11,7 @@ WINDOWS = "window_name string, capacity_tokens int, doc_id string"
 
 
 def test_nnls_fits():
-    cols = packing.patterns(64, 64)
+    cols = packing.patterns(64)
     target = np.zeros(64)
     target[[15, 31, 47]] = [40, 20, 10]
     x = packing.nnls(cols, target)
