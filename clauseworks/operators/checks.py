@@ -2,7 +2,7 @@
 
 Checks are rows (id, type, expected map); every type is one branch of set
 operations over the record tables, so any number of checks costs one pass per
-type. Defined results: a check with an unknown type or a missing expectation fails;
+type. Defined results: a check with an unknown type or severity or a missing expectation fails;
 null equals null in ``metadata_field_equals``; ids absent everywhere fail.
 """
 
@@ -73,9 +73,11 @@ def run(checks: DataFrame, tables: dict[str, DataFrame], node_table: DataFrame |
     for p in parts[1:]:
         done = done.unionByName(p)
     category = F.create_map(*[F.lit(x) for kv in rules.CHECK_CATEGORIES.items() for x in kv])
+    severity = F.coalesce("severity", F.lit("error"))
+    stated = F.col("expected").isNotNull() & severity.isin(*rules.SEVERITIES)
     return checks.join(done, "id", "left").select(
         "id", "type", F.coalesce(F.element_at(category, F.col("type")), F.lit("missed_document")).alias("category"),
-        F.coalesce("severity", F.lit("error")).alias("severity"), F.coalesce("passed", F.lit(False)).alias("passed"),
+        severity.alias("severity"), (stated & F.coalesce("passed", F.lit(False))).alias("passed"),
     )
 
 

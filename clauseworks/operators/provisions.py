@@ -1,8 +1,8 @@
 """Splitting documents into provisions, obligations in them, and dictionary tags.
 
-Row-local work first (one regular expression marks all labels, a higher-order
-function cuts and offsets the parts), then windows on ``document_id`` alone, which
-share one exchange.
+Row-local work first (one regular expression marks all labels, the text is cut
+there), then windows whose keys all start with ``document_id``: one exchange
+serves the offsets, the occurrence counts and the requirement numbers.
 
 Defined results: a null text gives no provision; a text without labels one
 ``fallback`` row; what stands before the first label is dropped; the sentinels
@@ -20,20 +20,9 @@ from clauseworks.functions.text import strip
 
 
 def split_parts(text: Column) -> Column:
-    """Array of (label, body, source_offset), the first of them the text before any label."""
-    bare = F.regexp_replace(text, "[\u0001-\u0003]", "")
-    marked = F.regexp_replace(bare, rules.LABELS, "\u0001$1$3$5\u0002$2$4$6\u0003")
-    parts = F.split(marked, "\u0001", -1)
-    sized = F.transform(parts, lambda p: F.struct(p.alias("p"), F.length(F.regexp_replace(p, "[\u0002\u0003]", "")).alias("n")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<label:string,body:string,source_offset:int>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        label = F.when(x["p"].contains("\u0003"), F.substring_index(x["p"], "\u0002", 1)).otherwise(F.lit(None))
-        body = F.when(x["p"].contains("\u0003"), F.substring_index(x["p"], "\u0003", -1)).otherwise(x["p"])
-        row = F.struct(label.alias("label"), strip(body).alias("body"), acc["at"].alias("source_offset"))
-        return F.struct((acc["at"] + x["n"]).alias("at"), F.concat(acc["out"], F.array(row)).alias("out"))
-
-    return F.aggregate(sized, start, step, lambda acc: acc["out"])
+    """The text cut before every label; a part is label, U+0002, separator, U+0003, body (the first one body alone)."""
+    marked = F.regexp_replace(F.regexp_replace(text, "[\u0001-\u0003]", ""), rules.LABELS, "\u0001$1$3$5\u0002$2$4$6\u0003")
+    return F.split(marked, "\u0001", -1)
 
 
 def kind_of(label: Column) -> Column:
@@ -57,18 +46,24 @@ def split_provisions(docs: DataFrame, text: str = "text", *carried: str) -> Data
     several times should be reduced to one row first (``latest_documents``).
     """
     parts = docs.where(F.col(text).isNotNull()).select("document_id", *carried, split_parts(F.col(text)).alias("parts"))
-    labelled = parts.select("document_id", *carried, F.posexplode("parts").alias("pos", "part"), F.size("parts").alias("n_parts"))
-    labelled = labelled.where(((F.col("pos") > 0) & (F.col("part.body") != "")) | (F.col("n_parts") == 1))
+    cut = parts.select("document_id", *carried, F.posexplode("parts").alias("pos", "p"), F.size("parts").alias("n_parts"))
+    size = F.length(F.translate("p", "\u0002\u0003", ""))
+    before = F.sum(size).over(Window.partitionBy("document_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - size
+    labelled = cut.select(
+        "document_id", *carried, "pos", "n_parts", before.cast("int").alias("source_offset"),
+        F.when(F.col("pos") > 0, F.substring_index("p", "\u0002", 1)).alias("own_label"),
+        strip(F.when(F.col("pos") > 0, F.substring_index("p", "\u0003", -1)).otherwise(F.col("p"))).alias("body"),
+    ).where(((F.col("pos") > 0) & (F.col("body") != "")) | (F.col("n_parts") == 1))
     fallback = F.col("n_parts") == 1
-    label = F.when(fallback, "fallback").otherwise(F.col("part.label"))
-    body = F.col("part.body")
-    head, rest = strip(F.substring_index(body, "\n", 1)), strip(F.expr("substring(part.body, instr(part.body, '\n') + 1)"))
+    label = F.when(fallback, "fallback").otherwise(F.col("own_label"))
+    body = F.col("body")
+    head, rest = strip(F.substring_index(body, "\n", 1)), strip(F.expr("substring(body, instr(body, '\n') + 1)"))
     split_head = ~fallback & body.contains("\n") & (rest != "")
     rows = labelled.select(
         "document_id", *carried, label.alias("label"), kind_of(label).alias("kind"),
         F.when(split_head, head).otherwise("unknown").alias("title"),
         F.when(split_head, rest).when(body.contains("\n") & ~fallback, head).otherwise(body).alias("text"),
-        F.when(fallback, 0).otherwise(F.col("part.source_offset")).alias("source_offset"),
+        F.when(fallback, 0).otherwise(F.col("source_offset")).alias("source_offset"),
         provision_id(F.col("document_id"), label).alias("base_id"),
     )
     by_label = F.row_number().over(Window.partitionBy("document_id", "label").orderBy("source_offset"))

@@ -95,17 +95,42 @@ def search_all(tables: dict[str, DataFrame], query: str, limit: int = 20) -> Dat
 def bm25(df: DataFrame, key: str, text: str, query: str, limit: int = 20, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """The best rows by BM25 over substring terms: (id, score), ties by id.
 
-    One pass gathers the document frequencies and the mean length (a single row),
-    a second one scores and keeps the top; nothing is shuffled but the partial tops.
+    Term counts and lengths are taken where the text is read, so only numbers are
+    shuffled: copies of an id count once (the longest, then the one with most hits),
+    the document frequencies and the mean length are a single row.
     """
     terms = [t.lower() for t in terms_of(query)]
     body = F.lower(F.coalesce(F.col(text), F.lit("")))
-    rows = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(body).alias("body"))
-    tf = [((F.length("body") - F.length(F.replace("body", F.lit(t), F.lit("")))) / len(t)) for t in terms]
-    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.avg(F.length("body")).alias("mean"), *[F.count_if(x > 0).alias(f"df{i}") for i, x in enumerate(tf)])
+    counts = [((F.length(body) - F.length(F.replace(body, F.lit(t), F.lit("")))) / len(t)).alias(f"t{i}") for i, t in enumerate(terms)]
+    numbers = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.length(body).alias("n_chars"), *counts)
+    fields = ["n_chars", *[f"t{i}" for i in range(len(terms))]]
+    rows = numbers.groupBy("id").agg(F.max(F.struct(*fields)).alias("x")).select("id", *[f"x.{f}" for f in fields])
+    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("n_chars").alias("mean"), *[F.count_if(F.col(f"t{i}") > 0).alias(f"df{i}") for i in range(len(terms))])
     score = F.lit(0.0)
-    for i, x in enumerate(tf):
+    for i in range(len(terms)):
+        tf = F.col(f"t{i}")
         idf = F.log(1 + (F.col("n") - F.col(f"df{i}") + 0.5) / (F.col(f"df{i}") + 0.5))
-        score = score + idf * x * (k1 + 1) / (x + k1 * (1 - b + b * F.length("body") / F.col("mean")))
+        score = score + idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("n_chars") / F.col("mean")))
     scored = rows.crossJoin(F.broadcast(stats)).select("id", score.alias("score"))  # stats is one row
     return scored.where("score > 0").orderBy(F.desc("score"), "id").limit(limit)
+
+
+def trigrams(c: Column) -> Column:
+    """Distinct three-character pieces of the lower-cased text."""
+    low = F.lower(F.coalesce(c, F.lit("")))
+    return F.array_distinct(F.regexp_extract_all(low, F.lit("(?s)(?=(...))"), F.lit(1)))  # one pass, overlapping
+
+
+def postings(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Trigram index: distinct (gram, id). Written once, it turns a search into a lookup of a few grams."""
+    return df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.explode(trigrams(F.col(text))).alias("gram")).distinct()
+
+
+def search_postings(index: DataFrame, df: DataFrame, key: str, text: str, term: str) -> DataFrame:
+    """Ids whose text holds ``term`` (three characters or more): all its grams by the index, then verified."""
+    low = term.lower()
+    grams = sorted({low[i : i + 3] for i in range(len(low) - 2)})
+    if not grams:
+        raise ValueError("a term for the trigram index has three characters or more")
+    likely = index.where(F.col("gram").isin(grams)).groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == len(grams))
+    return df.where(contains(F.col(text), term)).select(F.col(key).alias("id")).join(likely, "id", "left_semi").distinct()

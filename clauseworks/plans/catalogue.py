@@ -12,7 +12,7 @@ from clauseworks.functions import rules
 from clauseworks.functions import text as tx
 from clauseworks.operators import checks, collect, graph, provisions as pv, quality, references, search
 from clauseworks.plans import oracle
-from clauseworks.session import table
+from clauseworks.session import checkpointed, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -420,6 +420,12 @@ def bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
     return search.bm25(table(spark, sf, "provisions"), "provision_id", "text", "brake heated", 20).select("id", F.round("score", 6).alias("score"))
 
 
+@_query
+def search_trigram(spark: SparkSession, sf: str) -> DataFrame:
+    p = table(spark, sf, "provisions")
+    return search.search_postings(search.postings(p, "provision_id", "text"), p, "provision_id", "text", "Bearing")
+
+
 # graph (G, X1..X4)
 
 
@@ -441,12 +447,12 @@ def graph_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def graph_assembled(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.assemble(*_graph(spark, sf))[1].groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+    return graph.assemble(*map(checkpointed, _graph(spark, sf)))[1].groupBy("type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @_query
 def graph_integrity(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.dangling(*_graph(spark, sf))
+    return graph.dangling(*map(checkpointed, _graph(spark, sf)))
 
 
 @_query

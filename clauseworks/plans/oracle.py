@@ -318,11 +318,13 @@ def statements() -> dict[str, str]:
             (SELECT *, 1 FROM ({_hits("documents", "document_id", "title", _in("制动", *_D))}) ORDER BY id, snippet LIMIT 20) UNION ALL
             (SELECT *, 2 FROM ({_hits("requirements", "requirement_id", "evidence_quote", _in("制动", *_R))}) ORDER BY id, snippet LIMIT 20)) ORDER BY kind_order, id, snippet LIMIT 20""",
         "bm25_topk": """
-            WITH r AS (SELECT provision_id AS id, max(lower(coalesce(text, ''))) AS body FROM provisions WHERE provision_id IS NOT NULL GROUP BY 1),
-            f AS (SELECT id, length(body) AS len, (length(body) - length(replace(body, 'brake', ''))) / 5 AS t0, (length(body) - length(replace(body, 'heated', ''))) / 6 AS t1 FROM r),
+            WITH r AS (SELECT provision_id AS id, lower(coalesce(text, '')) AS body FROM provisions WHERE provision_id IS NOT NULL),
+            f AS (SELECT * FROM (SELECT id, length(body) AS len, (length(body) - length(replace(body, 'brake', ''))) / 5 AS t0, (length(body) - length(replace(body, 'heated', ''))) / 6 AS t1 FROM r)
+                QUALIFY row_number() OVER (PARTITION BY id ORDER BY len DESC, t0 DESC, t1 DESC) = 1),
             s AS (SELECT count(*) AS n, avg(len) AS mean, count(*) FILTER (t0 > 0) AS d0, count(*) FILTER (t1 > 0) AS d1 FROM f)
             SELECT id, round(score, 6) AS score FROM (SELECT id, ln(1 + (n - d0 + 0.5::DOUBLE) / (d0 + 0.5::DOUBLE)) * t0 * 2.2::DOUBLE / (t0 + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * len / mean))
                 + ln(1 + (n - d1 + 0.5::DOUBLE) / (d1 + 0.5::DOUBLE)) * t1 * 2.2::DOUBLE / (t1 + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * len / mean)) AS score FROM f, s) WHERE score > 0 ORDER BY score DESC, id LIMIT 20""",
+        "search_trigram": f"SELECT DISTINCT provision_id AS id FROM provisions WHERE provision_id IS NOT NULL AND {_in('bearing', 'text')}",
         "graph_nodes": f"WITH {_NODES} SELECT * FROM nodes",
         "graph_edges": f"WITH {_EDGES} SELECT * FROM edges",
         "graph_assembled": f"WITH {_NODES}, {_EDGES} SELECT type, count(*) AS n FROM edges WHERE source IN (SELECT id FROM nodes) AND target IN (SELECT id FROM nodes) GROUP BY type",

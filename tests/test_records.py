@@ -110,3 +110,12 @@ def test_collect(spark, t):
     assert "- r1: must\n- r2: must" in pages["p1"] and pages["p2"].endswith("ab\n\n")
     empty = spark.createDataFrame([], D)
     assert collect.fingerprints(empty).count() == 0 and collect.manifest({"d": empty}).first()["n_rows"] == 0
+
+
+def test_postings(spark):
+    df = spark.createDataFrame([("a", "Brake bearing", "x"), ("b", "be ar ing", "x"), ("c", None, "x"), ("a", "Brake bearing", "x"), ("d", "ab", "x"), ("e", "bearing " * 9000, "x")], "k string, t string, gram string")
+    index = search.postings(df, "k", "t")
+    assert {r["id"] for r in search.search_postings(index, df, "k", "t", "BEAR").collect()} == {"a", "e"}
+    assert search.search_postings(index, df, "k", "t", "xyz").count() == 0
+    with pytest.raises(ValueError):
+        search.search_postings(index, df, "k", "t", "ab")
