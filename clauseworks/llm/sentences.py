@@ -48,8 +48,6 @@ ABBREVIATIONS = {
     "hi": "सं डॉ श्री क्र पृ",
     "zh": "", "ja": "", "th": "",
 }
-#: Abbreviations after which a sentence may well end, if an upper-case letter follows.
-MAY_END = {"en": "etc p.m a.m incl", "de": "usw usf", "fr": "etc", "ru": "т.д т.п др пр г"}
 MONTHS_DE = "Januar Februar März April Mai Juni Juli August September Oktober November Dezember"
 FUNCTION_WORDS = {
     "en": "the of is a an to and for with shall in by at be or on that any each must not",
@@ -58,7 +56,8 @@ FUNCTION_WORDS = {
 }
 
 UPPER = r"[^\W\d_a-zß-öø-ÿа-яё]"
-START = r"[\"'“„«»‹(\[{（「『<*#|>=\\$&!_~+\-–—:]*(?:" + UPPER + r"|\d)"
+#: Whatever may stand before the first letter or figure of a sentence: quotes, brackets, bullets, marks of markup.
+START = r"(?:[\"'“„«»‹(\[{（「『<*#|>=\\$&!_~+\-–—·•:`/]\s*)*(?:" + UPPER + r"|\d|[a-z]{1,3}[)）])"
 
 
 def _abbreviation(words: str) -> str:
@@ -69,6 +68,7 @@ def _abbreviation(words: str) -> str:
 #: Rules that hold in every language, after those of the language itself.
 COMMON = (
     Rule(False, r"\.$", r"\s*[.,;:…]"),  # within a run of marks, before a comma
+    Rule(True, r"[.!?]$", r"</?[A-Za-z]"),  # an element ends or begins
     Rule(False, r"\.$", r"\S"),  # decimals, clause numbers, host names
     Rule(False, r"\.\.\.$|…$", r"\s*(?:[^\W\d_](?<![A-ZÀ-ÖØ-ÞА-ЯЁ])|\d)"),  # an ellipsis goes on
     Rule(False, r"[.!?][\"”“’»›)\]』」]+$|[!?]\s?»$|\.\s?»$", r"\s+[a-zß-öø-ÿа-яё\d]"),  # quotation inside a sentence
