@@ -105,7 +105,9 @@ def extract_requirements(provisions: DataFrame) -> DataFrame:
 
     Numbered through each document in order of offset and id, after the ones without modality are gone.
     """
-    found = provisions.withColumn("modality", modality_of(F.col("text"))).where("modality <> 'unknown'")
+    # a generator instead of a filter: Catalyst would copy the splitting into every branch of the pushed-down CASE
+    known = F.filter(F.array(modality_of(F.col("text"))), lambda m: m != "unknown")
+    found = provisions.select("*", F.explode(known).alias("modality"))
     nth = F.row_number().over(Window.partitionBy("document_id").orderBy("source_offset", "provision_id"))
     quote = F.coalesce(F.nullif("quote", F.lit("")), F.left("text", F.lit(rules.FALLBACK_QUOTE)))
     return found.withColumn("nth", nth).select(

@@ -257,6 +257,13 @@ def statements() -> dict[str, str]:
             WITH b AS (SELECT doc_id, {dated} AS body FROM documents)
             SELECT doc_id, {_date("body", "发布|发布日期|release(?:d)?|issued|公布", "发布|发布日期|release")} AS release,
                    {_date("body", "实施|实施日期|effective(?: date)?|生效|施行", "实施|实施日期|effective|生效|施行")} AS effective FROM b""",
+        "publisher": f"""
+            WITH n AS (SELECT doc_id, coalesce(text, '') || CASE doc_id % 3 WHEN 0 THEN coalesce(chr(10) || '发布部门： ' || publisher, '') WHEN 1 THEN coalesce(chr(10) || 'Issued by: ' || publisher, '') ELSE '' END AS body,
+                       doc_id % 3 < 2 AND publisher IS NULL AS absent FROM documents)
+            SELECT doc_id, CASE WHEN NOT absent THEN coalesce(nullif({_strip(f"regexp_extract(body, '(?m)发布部门{_WS}*[:：]{_WS}*(.+)$', 1)")}, ''),
+                nullif(regexp_extract(body, '(?:中华人民共和国)?(?:工信部|市场监管总局|国家标准化管理委员会|国家发展和改革委员会)'), ''),
+                nullif({_strip(f"regexp_extract(body, '(?i)(?:published by|issued by){_WS}*:?{_WS}*([^\\n]+)', 1)")}, ''),
+                nullif(regexp_extract(body, '(?:^|[^\\pL\\pN_\\pM])(ISO|IEC|UNECE|SAC|SAE)(?:$|[^\\pL\\pN_\\pM])', 1), '')) END AS found FROM n""",
         "publisher_directory": "SELECT d.publisher, p.jurisdiction, count(*) AS n FROM documents d LEFT JOIN publishers p ON p.publisher = d.publisher GROUP BY ALL",
         "split_provisions": f"WITH {_SPLIT} SELECT document_id, provision_id, label, kind, title, occurrence, source_offset, confidence, md5(text) AS md5 FROM split",
         "provision_kind_counts": f"WITH {_SPLIT} SELECT kind, count(*) AS n FROM split GROUP BY kind",
