@@ -18,12 +18,14 @@ import pyarrow as pa
 
 from clauseworks.llm.boost import Boosted
 
-WORD, PAIR = "word", "pair"
+WORD, PAIR, RUN = "word", "pair", "run"
 JOINT = "\x02"
 TOKEN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿЀ-ӿ0-9\x02]+")
 _ALNUM = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿЀ-ӿ0-9]+")
 IDEOGRAPH = re.compile(r"[぀-ヿ㐀-鿿]")
 WIDE = re.compile(r"[⺀-￯]")
+#: So many unknown ideographs in a row are judged together.
+LONG = 3
 _DIGIT = re.compile(r"\d")
 _BLANK = re.compile(r"\s+")
 
@@ -69,7 +71,7 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def suspects(text: str, words: frozenset[str], pairs: frozenset[str]) -> list[tuple[str, str]]:
     """(kind, unit) of a text's units that the given grams don't know; a cut word holds JOINT.
 
-    Three or more unknown ideographs in a row are a word the corpus lacks, not misreadings.
+    Three or more unknown ideographs in a row may be a word the corpus lacks; they are left to ``long_runs``.
     """
     out = []
     for m in TOKEN.findall(text):
@@ -82,24 +84,42 @@ def suspects(text: str, words: frozenset[str], pairs: frozenset[str]) -> list[tu
             s = shape(m)
             if s not in words and s.strip("0") and len(s) > 1:
                 out.append((WORD, s))
-    if WIDE.search(text):
-        y = _BLANK.sub("", _ALNUM.sub("a", text.replace(JOINT, "")))
-        n = len(y)
-        unknown = {i for i in range(n - 1) if y[i : i + 2] not in pairs}
-        row: list[int] = []
-        for i in sorted(unknown | {i + 1 for i in unknown}) if unknown else ():
-            if not ((i == 0 or i - 1 in unknown) and (i == n - 1 or i in unknown) and IDEOGRAPH.match(y[i])):
-                continue
-            if row and i != row[-1] + 1:
-                out += _rows(y, row)
-                row = []
-            row.append(i)
-        out += _rows(y, row)
+    for y, row in _unknown_rows(text, pairs):
+        if len(row) < LONG:
+            out += [(PAIR, _with_sides(y, k, k)) for k in row]
     return out
 
 
-def _rows(y: str, row: list[int]) -> list[tuple[str, str]]:
-    return [(PAIR, f"{y[k - 1 : k] or '^'}{y[k]}{y[k + 1 : k + 2] or '$'}") for k in row] if len(row) < 3 else []
+def long_runs(text: str, pairs: frozenset[str]) -> list[tuple[str, str]]:
+    """(RUN, run) of a text's LONG and longer runs of unknown ideographs, each with the character on either side.
+
+    Misreadings with one sound character between them make such a run, because the
+    sound one stands in two unknown pairs.
+    """
+    return [(RUN, _with_sides(y, row[0], row[-1])) for y, row in _unknown_rows(text, pairs) if len(row) >= LONG]
+
+
+def _unknown_rows(text: str, pairs: frozenset[str]) -> Iterator[tuple[str, list[int]]]:
+    """The text without blanks, and the places of each row of ideographs that are unknown on both sides."""
+    if not WIDE.search(text):
+        return
+    y = _BLANK.sub("", _ALNUM.sub("a", text.replace(JOINT, "")))
+    n = len(y)
+    unknown = {i for i in range(n - 1) if y[i : i + 2] not in pairs}
+    row: list[int] = []
+    for i in sorted(unknown | {i + 1 for i in unknown}):
+        if not ((i == 0 or i - 1 in unknown) and (i == n - 1 or i in unknown) and IDEOGRAPH.match(y[i])):
+            continue
+        if row and i != row[-1] + 1:
+            yield y, row
+            row = []
+        row.append(i)
+    if row:
+        yield y, row
+
+
+def _with_sides(y: str, first: int, last: int) -> str:
+    return f"{y[first - 1 : first] or '^'}{y[first : last + 1]}{y[last + 1 : last + 2] or '$'}"
 
 
 def middle(a: str, b: str) -> tuple[str, str]:

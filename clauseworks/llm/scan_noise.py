@@ -9,6 +9,8 @@
 3. Correction candidates of the distinct suspects come from character q-gram
    inverted joins (ideographs: from the pairs with a hole that their neighbours
    make); a gradient-boosted ranker scores them, the best above one half wins.
+   In three or more unknown ideographs in a row it takes another correction close
+   by, or the same exchange elsewhere, to tell misreadings from an unknown word.
 4. Accepted corrections are joined back to the records; the repaired text is
    written without furniture, with cut words rejoined and paragraphs run on.
 
@@ -166,7 +168,7 @@ def read(values: DataFrame, models: page_lines.Models, words: dict[str, int], pa
             for field, rec, _, page in _pages(batch, models):
                 body = run_on(page, misreadings.JOINT)
                 heads = " \n".join(s for s, h in zip(page.lines, page.header) if h)
-                units = set(misreadings.suspects(body, known_words, known_pairs)) | set(misreadings.suspects(heads, known_words, known_pairs))
+                units = {u for part in (body, heads) for of in (misreadings.suspects(part, known_words, known_pairs), misreadings.long_runs(part, known_pairs)) for u in of}
                 if page.joints or any(page.page) or any(page.header) or units:
                     out.append({"field_name": field, "rec_id": rec, "hyphen": bool(page.joints), "header": any(page.header), "page": any(page.page), "suspects": [{"kind": k, "unit": u} for k, u in sorted(units)]})
             yield pa.RecordBatch.from_pylist(out, schema=_READ_ARROW)
@@ -241,6 +243,30 @@ def corrections(units: DataFrame, lex: DataFrame, ranker: Boosted) -> DataFrame:
     return scored.withColumn("r", best).where("r = 1").select("kind", "unit", "cand", "score")
 
 
+def run_places(runs: DataFrame) -> DataFrame:
+    """(run, n, at, kind, unit): every ideograph of the distinct long runs, as a unit between its neighbours."""
+    each = F.expr("transform(sequence(2, length(run) - 1), i -> substring(run, i - 1, 3))")
+    return runs.groupBy("run").agg(F.count(F.lit(1)).alias("n")).select("run", "n", F.posexplode(each).alias("at", "unit")).withColumn("kind", F.lit(misreadings.PAIR))
+
+
+def run_fixes(places: DataFrame, unknown: DataFrame, fixes: DataFrame, alone: DataFrame) -> DataFrame:
+    """(run, kind, unit, cand): the corrections of long runs that are misreadings and no word the corpus lacks.
+
+    What the whole lexicon knows divides a run first. In what is still long, a
+    correction counts if another one stands at most two places away (a single sound
+    character between them) or the same exchange is accepted outside of long runs.
+    """
+    wrong = F.substring("unit", 2, 1)
+    seen = alone.join(sized(fixes), ["kind", "unit"]).where(F.col("kind") == misreadings.PAIR).select(wrong.alias("wrong"), "cand").distinct().withColumn("seen", F.lit(True))
+    left = places.join(unknown.select("kind", "unit"), ["kind", "unit"], "left_semi").join(fixes.select("kind", "unit", "cand"), ["kind", "unit"], "left")
+    left = left.withColumn("part", F.col("at") - F.row_number().over(Window.partitionBy("run").orderBy("at")))
+    part = Window.partitionBy("run", "part")
+    near = part.orderBy("at").rangeBetween(-2, 2)
+    left = left.withColumns({"long": F.count(F.lit(1)).over(part), "near": F.count("cand").over(near), "wrong": wrong}).where("cand is not null")
+    backed = (F.col("long") < misreadings.LONG) | (F.col("near") > 1) | F.col("seen").isNotNull()
+    return left.join(seen, ["wrong", "cand"], "left").where(backed).select("run", "kind", "unit", "cand").distinct()
+
+
 class Reading:
     """The stages of one run, each computed once."""
 
@@ -254,17 +280,23 @@ class Reading:
             self.models = page_lines.train([("a b c d e f g h", "t", "1", "d-1")] * 4)
         self.records = checkpointed(read(self.values, self.models, self.words, self.pairs))
         units = self.records.select("field_name", "rec_id", F.inline("suspects"))
+        alone, runs = units.where(F.col("kind") != misreadings.RUN), units.where(F.col("kind") == misreadings.RUN).withColumnRenamed("unit", "run")
+        places = run_places(runs)
+        counted = alone.groupBy("kind", "unit").agg(F.count(F.lit(1)).alias("n")).unionByName(places.select("kind", "unit", "n"))
         # a pair unit is unknown by both of its pairs; words are looked up as they are
         words = self.lex.where(F.col("kind") == misreadings.WORD).select("kind", F.col("gram").alias("unit"))
-        distinct = units.groupBy("kind", "unit").agg(F.count(F.lit(1)).alias("n_unit")).join(words, ["kind", "unit"], "left_anti")
+        distinct = counted.groupBy("kind", "unit").agg(F.sum("n").alias("n_unit")).join(words, ["kind", "unit"], "left_anti")
         pairs = self.lex.where(F.col("kind") == misreadings.PAIR).select("gram")
         l, r = F.substring("unit", 1, 2), F.substring("unit", 2, 2)
         if self.lex.where(F.col("kind") == misreadings.PAIR).count() > SNAPSHOT:
             distinct = distinct.join(pairs.select(F.col("gram").alias("g1")), (F.col("kind") == misreadings.PAIR) & (l == F.col("g1")), "left_anti")
             distinct = distinct.join(pairs.select(F.col("gram").alias("g2")), (F.col("kind") == misreadings.PAIR) & (r == F.col("g2")), "left_anti")
         ranker = misreadings.train_ranker(self.words, self.pairs)
-        self.fixes = checkpointed(corrections(checkpointed(distinct), self.lex, ranker))
-        self.misread = units.join(sized(self.fixes), ["kind", "unit"])
+        distinct = checkpointed(distinct)
+        self.fixes = checkpointed(corrections(distinct, self.lex, ranker))
+        in_runs = checkpointed(run_fixes(places, distinct, self.fixes, alone))
+        columns = ("field_name", "rec_id", "kind", "unit", "cand")
+        self.misread = alone.join(sized(self.fixes), ["kind", "unit"]).select(*columns).unionByName(runs.drop("kind").join(sized(in_runs), "run").select(*columns))
 
 
 def found(tables: dict[str, DataFrame]) -> DataFrame:

@@ -80,6 +80,25 @@ def test_found_and_repaired(spark):
     assert text.startswith("The hydraulic housing shall not exceed seven values when sealed under bending") and "12" not in text and "\n" not in text
 
 
+def test_misreadings_with_one_sound_character_between(spark, monkeypatch):
+    pairs = frozenset("的滑 滑动 动门 门锁 锁上 上的".split())
+    assert misreadings.long_runs("的滑劫门销上的", pairs) == [("run", "滑劫门销上")]
+    assert misreadings.long_runs("的滑劫门锁上的", pairs) == []
+    rng = random.Random(4)
+    terms = "滑动 门锁 上的 车辆 间隙 之间 制动 装置 试验 压力 温度 应当 符合 要求 移动 拉杆 转向 轴承 安全 螺栓 检查 座椅 强度 方向 连接 管路 灯光 信号 侧面 前部".split()
+    docs = [(i, f"gb-{1000000 + i}-2010", None, f"GB{1000000 + i}", "。".join("".join(rng.choice(terms) for _ in range(9)) for _ in range(25)) + "。滑动门锁上的，之间的间隙", None) for i in range(40)]
+    bad = ["滑劫门销上的车辆\n应当符合要求", "车辆应当之问的问隙\n符合要求"]
+    unknown = "车辆蝴蝶翅膀应当\n符合要求"
+    rows = [(f"gb-1000001-2010-{i}", "gb-1000001-2010", t, None) for i, t in enumerate([*bad, unknown])]
+    tables = {"documents": spark.createDataFrame(docs, DOCS), "provisions": spark.createDataFrame(rows, PROV)}
+    for most in (scan_noise.SNAPSHOT, 600):  # also where the readers know only a part of the lexicon
+        monkeypatch.setattr(scan_noise, "SNAPSHOT", most)
+        got = {r["rec_id"] for r in scan_noise.found(tables).where("noise = 'misread'").collect()}
+        assert got == {"gb-1000001-2010-0", "gb-1000001-2010-1"}
+    text = {r["rec_id"]: r["repaired"] for r in scan_noise.repaired(tables).collect()}
+    assert text["gb-1000001-2010-0"].startswith("滑动门锁上的车辆") and text["gb-1000001-2010-1"].startswith("车辆应当之间的间隙")
+
+
 def test_empty_tables(spark):
     tables = {"documents": spark.createDataFrame([], DOCS), "provisions": spark.createDataFrame([], PROV)}
     assert scan_noise.found(tables).count() == 0
