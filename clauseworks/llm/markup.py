@@ -98,14 +98,46 @@ def _is_wiki(mark: str) -> bool:
 def _is_markdown(text: str) -> bool:
     formulas = FORMULA.sub(" ", text)
     formulas = re.sub(r"\\[A-Za-z]+\*?(?:\{[^{}\n]*\})*|[_^]\{[^{}]*\}", " ", formulas)
-    for m in MARKDOWN.finditer(formulas):
-        mark = m[0]
-        if mark[0] == "|" and ("||" in mark or mark.strip() in ("|-", "|}", "||")):
-            continue
-        if mark.rstrip()[-1] in "=" and "\n" in mark and mark.split("\n")[0].startswith("="):
-            continue
+    return any(_is_markdown_mark(formulas, m) for m in MARKDOWN.finditer(formulas))
+
+
+def _is_markdown_mark(text: str, m: re.Match) -> bool:
+    mark = m[0]
+    if mark[0] == ">":
+        return _is_quote(text[m.start() :].split("\n", 1)[0], text[: m.start()])
+    if mark[0] == "|" and ("||" in mark or mark.strip() in ("|-", "|}", "||")):
+        return False
+    return not (mark.rstrip()[-1] in "=" and "\n" in mark and mark.split("\n")[0].startswith("="))
+
+
+def _is_quote(line: str, before: str) -> bool:
+    """A line-initial > before a number goes on with a comparison, unless what stands before it is at its end."""
+    if not re.match(r">\s*[-+−]?\d", line):
         return True
-    return False
+    last = before.rstrip().rsplit("\n", 1)[-1].strip()
+    return not last or last[0] in ">#" or last[-1] in ".!?:;。！？：；"
+
+
+#: Constructs over several lines, with all that stands inside them.
+_BLOCKS = re.compile(
+    r"^(```|~~~).*?(?:^\1|\Z)|^\{\|.*?(?:^\|\}|\Z)|\\begin\{(\w+\*?)\}.*?(?:\\end\{\2\}|\Z)|<(pre|code|script|style|table|head)\b[^<>]*>.*?(?:</\3\s*>|\Z)|\$\$[^$]+\$\$", re.M | re.S | re.I
+)
+
+_EXTERNAL = re.compile(r"\[[a-z]+://[^\[\]\n]*\]", re.I)
+
+
+def marked_lines(text: str, langs: list[str]) -> frozenset[int]:
+    """Numbers of the lines that hold a mark of ``langs`` or lie inside a marked block."""
+    spans = [m.span() for m in _BLOCKS.finditer(text)] if langs else []
+    if "html" in langs:
+        spans += [m.span() for m in TAG.finditer(text)] + [m.span() for m in REFERENCE.finditer(text) if html.unescape(m[0]) != m[0]]
+    if "wiki" in langs:
+        spans += [m.span() for m in WIKI.finditer(text) if _is_wiki(m[0])] + [m.span() for m in _EXTERNAL.finditer(text)]
+    if "markdown" in langs:
+        spans += [m.span() for m in MARKDOWN.finditer(text) if _is_markdown_mark(text, m)]
+    if "latex" in langs:
+        spans += [m.span() for m in LATEX.finditer(text)]
+    return frozenset(n for lo, hi in spans for n in range(text.count("\n", 0, lo), text.count("\n", 0, max(lo, hi - 1)) + 1))
 
 
 class _Tree(HTMLParser):
@@ -237,7 +269,7 @@ def _lines(text: str, langs: list[str]) -> Iterator[tuple[str, str]]:
         elif m := re.match(r"(?:[-+*]|\\item|[:*#]+)\s+(.*)$", bare):
             yield from flush()
             yield "item", m[1]
-        elif m := re.match(r">\s?(.*)$", bare):
+        elif (m := re.match(r">\s?(.*)$", bare)) and _is_quote(bare, "\n".join(rows[: i - 1])):
             yield from flush()
             yield "quote", m[1]
         else:

@@ -261,10 +261,11 @@ class Page(NamedTuple):
     header: list[bool]
     joints: list[tuple[int, int]]  # body lines i, j with one word cut between them
     body: list[int]
+    marked: frozenset[int] = frozenset()  # body lines that are not judged
 
 
-def read_pages(records: list[tuple[str, Names]], models: Models) -> list[Page]:
-    """Classify the lines and line pairs of several records at once."""
+def read_pages(records: list[tuple[str, Names]], models: Models, marked: list[frozenset[int]] | None = None) -> list[Page]:
+    """Classify the lines and line pairs of several records at once; ``marked`` lines of each are text as they stand."""
     split = [value.split("\n") for value, _ in records]
     feats = [line_features(lines, names) for lines, (_, names) in zip(split, records)]
     x = np.concatenate(feats) if feats else np.zeros((0, FEATURES))
@@ -279,12 +280,15 @@ def read_pages(records: list[tuple[str, Names]], models: Models) -> list[Page]:
     for r, lines in enumerate(split):
         p, h = is_page[at : at + len(lines)].tolist(), is_header[at : at + len(lines)].tolist()
         at += len(lines)
+        kept = marked[r] if marked else frozenset()
+        for i in kept:
+            p[i] = h[i] = False
         body = [i for i, s in enumerate(lines) if s.strip() and not p[i] and not h[i]]
         for a, b in zip(body, body[1:]):
-            if lines[a].rstrip()[-1:] in HYPHENS:
+            if lines[a].rstrip()[-1:] in HYPHENS and a not in kept and b not in kept:
                 pairs.append(pair_features(lines[a], lines[b]))
                 where.append((r, a, b))
-        out.append(Page(lines, p, h, [], body))
+        out.append(Page(lines, p, h, [], body, kept))
     if pairs:
         for (r, a, b), score in zip(where, models.joint.scores(np.array(pairs, float))):
             if score > 0.5:

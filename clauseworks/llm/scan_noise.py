@@ -14,9 +14,9 @@
 4. Accepted corrections are joined back to the records; the repaired text is
    written without furniture, with cut words rejoined and paragraphs run on.
 
-Only records with line breaks and without markup are read; the models are fitted
-on at most ``TRAIN_DOCUMENTS`` documents and ``SNAPSHOT`` grams, everything else
-covers all rows.
+All records with line breaks are read; lines with markup, or inside a marked block,
+are not judged and stay as they are. The models are fitted on at most
+``TRAIN_DOCUMENTS`` documents and ``SNAPSHOT`` grams, everything else covers all rows.
 
 Defined results: null and empty values give no row; a record without line breaks
 is no page and stays as it is; a record whose document is unknown is judged
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -118,20 +119,26 @@ def plain(text: str) -> str:
     return "\n".join(" ".join(lookalikes.plain_form(w, script)[0] if w else w for w in line.split(" ")) for line in text.split("\n"))
 
 
-def run_on(page: page_lines.Page, joint: str) -> str:
-    """The body of a page as running text; cut words are joined by ``joint``."""
+def plain_unmarked(text: str, marked: frozenset[int]) -> str:
+    """``plain`` but for the marked lines, which stay as they are."""
+    out = plain(text)
+    if marked and out != text:
+        out = "\n".join(a if i in marked else b for i, (a, b) in enumerate(zip(text.split("\n"), out.split("\n"))))
+    return out
+
+
+def stretches(page: page_lines.Page) -> Iterator[tuple[bool, list[int]]]:
+    """The body lines of a page in stretches of marked and unmarked ones."""
+    return ((marked, list(lines)) for marked, lines in groupby(page.body, page.marked.__contains__))
+
+
+def run_on(page: page_lines.Page, joint: str) -> list[str]:
+    """The unmarked stretches of a page's body as running text; cut words are joined by ``joint``."""
     cut = {a for a, _ in page.joints}
     wide = sum(len(misreadings.IDEOGRAPH.findall(page.lines[i])) for i in page.body)
     latin = sum(len(_RE_LATIN.findall(page.lines[i])) + len(_RE_CYRILLIC.findall(page.lines[i])) for i in page.body)
     gap = "" if wide * 2 > latin else " "
-    out = []
-    for i in page.body:
-        line = page.lines[i]
-        if i in cut:
-            out.append(line.rstrip()[:-1] + joint)
-        else:
-            out.append(line + gap)
-    return "".join(out)
+    return ["".join(page.lines[i].rstrip()[:-1] + joint if i in cut else page.lines[i] + gap for i in lines) for marked, lines in stretches(page) if not marked]
 
 
 def _names(title, number, head, rec_id):
@@ -149,12 +156,13 @@ _AT_ONCE = 300
 
 
 def _pages(batch: pa.RecordBatch, models: page_lines.Models) -> Iterator[tuple]:
-    """(field, rec_id, value, page) of a batch's unmarked records."""
-    rows = [r for r in arrow_rows(batch, "field_name", "rec_id", "value", "title", "number", "head") if not markup.marks(r[2])]
+    """(field, rec_id, value, page) of a batch's records; lines with markup are not judged."""
+    rows = list(arrow_rows(batch, "field_name", "rec_id", "value", "title", "number", "head"))
     for lo in range(0, len(rows), _AT_ONCE):
         part = rows[lo : lo + _AT_ONCE]
-        records = [(plain(v), _names(t, n, h, rec)) for _, rec, v, t, n, h in part]
-        for row, page in zip(part, page_lines.read_pages(records, models)):
+        marked = [markup.marked_lines(r[2], markup.marks(r[2])) for r in part]
+        records = [(plain_unmarked(v, kept), _names(t, n, h, rec)) for (_, rec, v, t, n, h), kept in zip(part, marked)]
+        for row, page in zip(part, page_lines.read_pages(records, models, marked)):
             yield row[0], row[1], row[2], page
 
 
@@ -168,7 +176,7 @@ def read(values: DataFrame, models: page_lines.Models, words: dict[str, int], pa
             for field, rec, _, page in _pages(batch, models):
                 body = run_on(page, misreadings.JOINT)
                 heads = " \n".join(s for s, h in zip(page.lines, page.header) if h)
-                units = {u for part in (body, heads) for of in (misreadings.suspects(part, known_words, known_pairs), misreadings.long_runs(part, known_pairs)) for u in of}
+                units = {u for part in (*body, heads) for of in (misreadings.suspects(part, known_words, known_pairs), misreadings.long_runs(part, known_pairs)) for u in of}
                 if page.joints or any(page.page) or any(page.header) or units:
                     out.append({"field_name": field, "rec_id": rec, "hyphen": bool(page.joints), "header": any(page.header), "page": any(page.page), "suspects": [{"kind": k, "unit": u} for k, u in sorted(units)]})
             yield pa.RecordBatch.from_pylist(out, schema=_READ_ARROW)
@@ -312,15 +320,28 @@ _FINAL = re.compile(r"[.!?…。！？।；;:：][\"”’»)）」』]*\s*$")
 
 
 def paragraphs(page: page_lines.Page, words: frozenset[str], fixes: dict[tuple[str, str], str]) -> str:
-    """A page as paragraphs: furniture gone, cut words whole, accepted corrections made."""
+    """A page as paragraphs: furniture gone, cut words whole, accepted corrections made; marked lines as they are."""
     cut = {a for a, _ in page.joints}
     usual = sorted(len(page.lines[i]) for i in page.body)[len(page.body) * 3 // 4] if page.body else 0
     wide = sum(len(misreadings.IDEOGRAPH.findall(page.lines[i])) for i in page.body) * 2 > sum(len(_RE_LATIN.findall(page.lines[i])) for i in page.body)
+    whole, last = "", None
+    for marked, lines in stretches(page):
+        if last is not None:
+            whole += "\n\n" if any(not page.lines[j].strip() for j in range(last + 1, lines[0])) else "\n"
+        if marked:
+            whole += "\n".join(page.lines[j] for j in range(lines[0], lines[-1] + 1) if not page.page[j] and not page.header[j])
+        else:
+            whole += corrected(_paragraphs(page, lines, cut, usual, wide, words), fixes)
+        last = lines[-1]
+    return whole
+
+
+def _paragraphs(page: page_lines.Page, body: list[int], cut: set[int], usual: int, wide: bool, words: frozenset[str]) -> str:
     out = ""
-    for k, i in enumerate(page.body):
+    for k, i in enumerate(body):
         line = page.lines[i]
         if k:
-            prev = page.body[k - 1]
+            prev = body[k - 1]
             blank = any(not page.lines[j].strip() for j in range(prev + 1, i)) and not any(page.page[j] or page.header[j] for j in range(prev + 1, i))
             if prev in cut:
                 left, right = re.search(r"([^\W\d_]*)$", out[-80:])[1], re.match(r"([^\W\d_]*)", line.lstrip())[1]
@@ -336,7 +357,7 @@ def paragraphs(page: page_lines.Page, words: frozenset[str], fixes: dict[tuple[s
         out += (line.rstrip() if not wide else line) if line else ""
         if i in cut:
             out = out.rstrip()[:-1]
-    return corrected(out, fixes)
+    return out
 
 
 def corrected(text: str, fixes: dict[tuple[str, str], str]) -> str:

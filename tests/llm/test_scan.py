@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from clauseworks.llm import boost, misreadings, page_lines, scan_noise
+from clauseworks.llm import boost, markup, misreadings, page_lines, scan_noise
 
 WORDS = "the hydraulic housing shall not exceed seven values when sealed under bending fatigue while each bracket returns within limits of pressure and temperature".split()
 DOCS = "doc_id long, document_id string, title string, standard_id string, text string, source_text string"
@@ -99,6 +99,22 @@ def test_misreadings_with_one_sound_character_between(spark, monkeypatch):
     assert text["gb-1000001-2010-0"].startswith("滑动门锁上的车辆") and text["gb-1000001-2010-1"].startswith("车辆应当之间的间隙")
 
 
+def test_marked_records_are_read(spark):
+    assert markup.marks("where a < 12.63 and b\n> 17.9, with\nmore") == [] and markup.marks("Said.\n\n> 5.1 The clause") == markup.marks("a\n> so") == ["markdown"]
+    text = "a\n**b** c\n\n```\nx\n\ny\n```\nz\n<p>q\nr</p>"
+    assert markup.marked_lines(text, ["html", "markdown"]) == {1, 3, 4, 5, 6, 7, 9, 10} and markup.marked_lines(text, []) == frozenset()
+    docs = documents(80)
+    d = docs[3]
+    scan = f"The hydraulic housing shall not exc-\n— 12 —\n{d[2].upper()}   \need seven values where a < 12 and b\n> 17.9 when sea1ed under bending"
+    marked = scan + "\nfatigue.\n**each** sea1ed bra-\nwithin limits of pressure."
+    rows = [(f"{d[1]}-1-{i}", d[1], t, None) for i, t in enumerate([scan, marked])]
+    tables = {"documents": spark.createDataFrame(docs, DOCS), "provisions": spark.createDataFrame(rows, PROV)}
+    got = {(r["rec_id"], r["noise"]) for r in scan_noise.found(tables).collect()}
+    assert {(r[0], k) for r in rows for k in ("hyphen", "header", "page", "misread")} <= got
+    out = {r["rec_id"]: r["repaired"] for r in scan_noise.repaired(tables).collect()}[rows[1][0]]
+    assert out.startswith("The hydraulic housing shall not exceed seven values where a < 12 and b > 17.9 when sealed under") and "\n**each** sea1ed bra-\nwithin limits" in out
+
+
 def test_empty_tables(spark):
     tables = {"documents": spark.createDataFrame([], DOCS), "provisions": spark.createDataFrame([], PROV)}
     assert scan_noise.found(tables).count() == 0
