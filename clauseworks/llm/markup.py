@@ -3,10 +3,13 @@ r"""Problem 3: markup residue in text documents.
 Every record with a mark of HTML, Markdown, wiki or LaTeX syntax is parsed into a
 tree of presentation nodes (element, fence, table, heading, template ...) with
 content leaves. The trees of one site are merged into a site style tree: per path
-of nodes, how many records show it, in which styles, with which contents. A
-path's importance joins the entropy of its presentation styles with the evenness
-of its contents (a content that repeats on every page carries nothing); branches
-of low importance are removed from each record before its text is written out.
+of nodes and content of a block, how many records show it, and in which styles the
+path comes. A block's importance joins the entropy of its path's presentation
+styles with the rarity of its content (a content that repeats on every page
+carries nothing); blocks of low importance are removed from each record before its
+text is written out. Headings, items, cells, code, formulas, subscripts and
+superscripts are never removed. Digits are masked, so that page counts repeat,
+only inside navigation, headers and footers.
 
 Output notation: headings are lines of their own after one section sign per
 level, list items start with a bullet, table cells are separated by a broken bar,
@@ -14,12 +17,12 @@ code is indented by four blanks, formulas stand between angle brackets
 U+27E8 and U+27E9.
 
 Sites: the host of a document's source_url, else its publisher; for provisions the
-series that leads the document_id. Only distinct (record, path) rows are shuffled;
-the list of removed paths per site joins back by Spark's own size check.
+series that leads the document_id. Only distinct (record, path, content) rows are
+shuffled; the list of removed contents per site joins back by Spark's own size check.
 
 Defined results: null and empty values give no row; a record without marks keeps
 its text; unclosed and crossed elements close at the end; unknown elements are
-text; a site with fewer than ``MIN_PAGES`` records loses no branch; repeated rows
+text; a site with fewer than ``MIN_PAGES`` records loses no block; repeated rows
 are cleaned each, the found query gives them once.
 """
 
@@ -29,6 +32,7 @@ import html
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -38,7 +42,7 @@ from clauseworks.llm.fields import arrow_rows
 from clauseworks.session import checkpointed
 
 LANGUAGES = ("html", "markdown", "wiki", "latex")
-#: A branch is removed below this importance, on sites of at least so many records.
+#: A block is removed below this importance, on sites of at least so many records.
 LOW, MIN_PAGES, GAMMA = 0.2, 20, 0.9
 
 # The elements of HTML.
@@ -51,6 +55,9 @@ ELEMENTS = (
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header html li main menu nav ol p pre section table tbody tfoot thead tr ul title".split())
 SILENT = frozenset("script style head meta link noscript template".split())
+#: Parts of a page around its content, and nodes that are never removed outside of these.
+FURNITURE = frozenset("aside footer header menu nav".split())
+STRUCTURE = frozenset("sub sup td th tr row li item dd dt h1 h2 h3 h4 h5 h6 code pre math".split())
 LATEX_HEADINGS = {"part": 1, "chapter": 1, "section": 2, "subsection": 3, "subsubsection": 4, "paragraph": 5, "subparagraph": 6}
 LATEX_SYMBOLS = {"le": "≤", "leq": "≤", "ge": "≥", "geq": "≥", "times": "×", "cdot": "·", "pm": "±", "ldots": "…", "dots": "…", "degree": "°", "alpha": "α", "beta": "β", "mu": "μ", "Omega": "Ω", "omega": "ω", "neq": "≠", "approx": "≈"}
 
@@ -310,12 +317,39 @@ def _inline(text: str) -> str:
     return re.sub("\x00(\\d+)\x00", lambda m: f"⟨{kept[int(m[1])]}⟩", text)
 
 
-def written(found: list[tuple[str, str, str]], dropped: frozenset[str] = frozenset()) -> str:
-    """The clean text of a record's leaves, without those on ``dropped`` paths."""
+def _block(path: str) -> str:
+    """The path as far as its last block; what isn't written stands by itself."""
+    nodes = path.split("/")
+    if SILENT & set(nodes) or nodes[-1] == "comment":
+        return path
+    at = max((i for i, n in enumerate(nodes) if n in BLOCK or n in ("row", "item", "quote")), default=-1)
+    return "/".join(nodes[: at + 1]) or nodes[0]
+
+
+def blocks(found: list[tuple[str, str, str]]) -> Iterator[tuple[str, int, list[tuple[str, str, str]]]]:
+    """(path, content, leaves) of a record's blocks; the inline leaves of a block are one content."""
+    for path, of in groupby(found, lambda leaf: _block(leaf[0])):
+        part = list(of)
+        yield path, _signature(path, "".join(data for _, _, data in part)), part
+
+
+def _stays(path: str, part: list[tuple[str, str, str]]) -> bool:
+    """Blanks and what gives a text its structure stay however often they come, except in furniture of a page."""
+    text = "".join(data for _, _, data in part)
+    if not text.strip():
+        return True
+    return not FURNITURE & set(path.split("/")) and (any(STRUCTURE & set(leaf[0].split("/")) for leaf in part) or bool(FORMULA.search(text) or LATEX.search(text)))
+
+
+def written(found: list[tuple[str, str, str]], dropped: frozenset[tuple[str, int]] = frozenset()) -> str:
+    """The clean text of a record's leaves, without the ``dropped`` (path, content) blocks."""
     out: list[str] = []
-    for path, _, data in found:
+    kept = found
+    if dropped:
+        kept = [leaf for path, content, part in blocks(found) if (path, content) not in dropped or _stays(path, part) for leaf in part]
+    for path, _, data in kept:
         nodes = path.split("/")
-        if path in dropped or SILENT & set(nodes) or nodes[-1] == "comment":
+        if SILENT & set(nodes) or nodes[-1] == "comment":
             continue
         if {"pre", "code"} & set(nodes) and "\n" in data or nodes[-1] == "code" or "pre" in nodes:
             if data.strip():
@@ -347,34 +381,38 @@ def clean(text: str) -> str:
     return written(leaves(text, langs)) if langs else text
 
 
-def _signature(text: str) -> int:
-    """A stable 64-bit name of a leaf's content, digits masked."""
+def _signature(path: str, text: str) -> int:
+    """A stable 64-bit name of a block's content; digits are masked in the furniture of pages."""
     import hashlib
 
-    masked = re.sub(r"\d+", "0", " ".join(text.split()))
-    return int.from_bytes(hashlib.blake2b(masked.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+    plain = " ".join(text.split())
+    if FURNITURE & set(path.split("/")):
+        plain = re.sub(r"\d+", "0", plain)
+    return int.from_bytes(hashlib.blake2b(plain.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
-NODES = "field_name string, rec_id string, site string, languages array<string>, path string, style string, content long"
+NODES = "field_name string, rec_id string, site string, languages array<string>, path string, style string, content long, first int"
 _NODES_ARROW = pa.schema(
-    [("field_name", pa.string()), ("rec_id", pa.string()), ("site", pa.string()), ("languages", pa.list_(pa.string())), ("path", pa.string()), ("style", pa.string()), ("content", pa.int64())]
+    [("field_name", pa.string()), ("rec_id", pa.string()), ("site", pa.string()), ("languages", pa.list_(pa.string())), ("path", pa.string()), ("style", pa.string()), ("content", pa.int64()), ("first", pa.int32())]
 )
 
 
 def _emit_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every record's distinct (path, content); ``first`` is 1 once for each of its paths."""
     for batch in batches:
         cols = [[] for _ in _NODES_ARROW]
         for field, rec, site, value in arrow_rows(batch, "field_name", "rec_id", "site", "value"):
             langs = marks(value)
             if not langs:
                 continue
-            seen = set()
-            for path, style, data in leaves(value, langs):
-                if path in seen:
+            paths, seen = set(), set()
+            for path, content, part in blocks(leaves(value, langs)):
+                if (path, content) in seen:
                     continue
-                seen.add(path)
-                for col, v in zip(cols, (field, rec, site, langs, path, style, _signature(data))):
+                seen.add((path, content))
+                for col, v in zip(cols, (field, rec, site, langs, path, part[0][1], content, int(path not in paths))):
                     col.append(v)
+                paths.add(path)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _NODES_ARROW.types)], schema=_NODES_ARROW)
 
 
@@ -391,22 +429,18 @@ def hinted(values: DataFrame) -> DataFrame:
 
 
 def style_tree(nodes: DataFrame) -> DataFrame:
-    """Merged trees: (site, path, pages, importance).
+    """Merged trees: (site, path, content, pages, importance).
 
-    Entropies are to the base of the number of pages, so 1 is an even spread. With n_i
-    of m pages showing content i, that content's own entropy is log_m n_i; a path's
-    content importance is the mean of one minus it over its distinct contents.
+    Entropies are to the base of the number of pages, so 1 is an even spread. With n
+    of m pages showing a content, its importance is one minus its own entropy log_m n.
     """
-    pages = nodes.groupBy("site", "path", "style", "content").agg(F.count(F.lit(1)).alias("n"))
-    by_content = pages.groupBy("site", "path", "content").agg(F.sum("n").alias("n"))
-    by_style = pages.groupBy("site", "path", "style").agg(F.sum("n").alias("n"))
-    contents = by_content.groupBy("site", "path").agg(F.sum("n").alias("pages"), F.count(F.lit(1)).alias("kinds"), F.sum(F.log("n")).alias("logs"))
-    styles = by_style.groupBy("site", "path").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.log("n")).alias("weighted"))
-    base = F.log(F.greatest("pages", F.lit(2)).cast("double"))
-    content = F.lit(1.0) - F.col("logs") / F.col("kinds") / base
-    presentation = (F.log(F.col("all").cast("double")) - F.col("weighted") / F.col("all")) / base
+    by_content = nodes.groupBy("site", "path", "content").agg(F.count(F.lit(1)).alias("n"))
+    by_style = nodes.groupBy("site", "path", "style").agg(F.count(F.lit(1)).alias("n"), F.sum("first").alias("firsts"))
+    styles = by_style.groupBy("site", "path").agg(F.sum("firsts").alias("pages"), F.sum("n").alias("all"), F.sum(F.col("n") * F.log("n")).alias("weighted"))
+    content = F.lit(1.0) - F.log("n") / F.log(F.greatest("pages", F.lit(2)).cast("double"))
+    presentation = (F.log(F.col("all").cast("double")) - F.col("weighted") / F.col("all")) / F.log(F.greatest("all", F.lit(2)).cast("double"))
     importance = F.when(F.col("pages") > 1, (1 - GAMMA) * presentation + GAMMA * content).otherwise(1.0)
-    return contents.join(styles, ["site", "path"]).select("site", "path", "pages", importance.alias("importance"))
+    return by_content.join(styles, ["site", "path"]).select("site", "path", "content", "pages", importance.alias("importance"))
 
 
 def marked_nodes(values: DataFrame) -> DataFrame:
@@ -417,15 +451,15 @@ def marked_nodes(values: DataFrame) -> DataFrame:
 def found(values: DataFrame) -> DataFrame:
     """(field_name, rec_id, markup): the languages of each record's presentation nodes in the merged trees."""
     nodes = checkpointed(marked_nodes(values))
-    tree = style_tree(nodes).select("site", "path", "importance")
-    merged = nodes.join(tree, ["site", "path"]).groupBy("field_name", "rec_id", "languages").agg(F.max("importance").alias("importance"))
+    tree = style_tree(nodes).select("site", "path", "content", "importance")
+    merged = nodes.join(tree, ["site", "path", "content"]).groupBy("field_name", "rec_id", "languages").agg(F.max("importance").alias("importance"))
     return merged.select("field_name", "rec_id", F.explode("languages").alias("markup")).distinct()
 
 
 def cleaned(values: DataFrame) -> DataFrame:
-    """(field_name, rec_id, value, clean): every record's text without markup and low-importance branches."""
+    """(field_name, rec_id, value, clean): every record's text without markup and low-importance blocks."""
     tree = style_tree(marked_nodes(values))
-    low = tree.where((F.col("importance") < LOW) & (F.col("pages") >= MIN_PAGES)).groupBy("site").agg(F.collect_list("path").alias("dropped"))
+    low = tree.where((F.col("importance") < LOW) & (F.col("pages") >= MIN_PAGES)).groupBy("site").agg(F.collect_list(F.struct("path", "content")).alias("dropped"))
     joined = values.join(low, "site", "left").select("field_name", "rec_id", "value", "dropped")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -433,7 +467,7 @@ def cleaned(values: DataFrame) -> DataFrame:
             out = []
             for value, dropped in arrow_rows(batch, "value", "dropped"):
                 langs = marks(value)
-                out.append(written(leaves(value, langs), frozenset(dropped or ())) if langs else value)
+                out.append(written(leaves(value, langs), frozenset((x["path"], x["content"]) for x in dropped or ())) if langs else value)
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.string())], names=["field_name", "rec_id", "value", "clean"])
 
     return joined.mapInArrow(write, "field_name string, rec_id string, value string, clean string")

@@ -153,3 +153,14 @@ def test_markup_table(spark):
     clean = {r["rec_id"]: r["clean"] for r in markup.cleaned(df.where("value <> ''")).collect()}
     assert "Home" not in clean["5"] and clean["5"].endswith(" 5") and clean["t"] == "plain"
     assert markup.found(df.limit(0)).count() == 0
+
+
+def test_numbers_and_common_openings_stay(spark):
+    nav = lambda i: f"<nav><ul><li>Home</li><li>Page {i} of 30</li></ul></nav>"
+    page = lambda i: f"{nav(i)}<h2>Scope</h2>\n<p>All rights are reserved.</p>\n<h2>Part {'abc'[i % 3]}{i}</h2>\n<p>v<sub>{i}</sub> = 9 m/s<sup>2</sup></p>\n<p>text {i}</p>\n<table><tr><td>{i}</td> <td>7</td></tr></table><ul><li>seal</li> <li>item {i}</li></ul>"
+    df = spark.createDataFrame([("f", str(i), page(i), "s") for i in range(30)], VALUES + ", site string")
+    for r in markup.cleaned(df).collect():
+        i, clean = r["rec_id"], r["clean"]
+        assert "Home" not in clean and "Page" not in clean and "reserved" not in clean
+        assert "§§ Scope" in clean and f"§§ Part {'abc'[int(i) % 3]}{i}" in clean and f"v{i} = 9 m/s2" in "".join(clean.split("\n")) and f"text {i}" in clean
+        assert f"¦ {i}" in clean and "¦ 7" in clean and "• seal" in clean and f"• item {i}" in clean
