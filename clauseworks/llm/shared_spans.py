@@ -10,7 +10,8 @@ so records that share a span share a key. Keys of a single text go no further.
 Keys shared by few texts name candidate pairs, which are verified on the texts.
 Keys shared by more than ``HOT`` texts are never paired up: their texts hash all
 200-character windows around the key, and only windows shared in full make
-pairs, each distinct group of texts once.
+pairs, each distinct group of texts once. All places of such a window count for
+the shared amount.
 
 Exact copies are one class from the start (two 64-bit hashes of the text), so a
 class is parsed into keys per stored row but meets others once.
@@ -101,9 +102,9 @@ def _windows(text: str, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     hit = np.isin(_signed(key), wanted)
     n = len(text)
     cover = np.zeros(n + 1, dtype=np.int64)
-    inner = b - a > SPAN  # of a repetition the windows inside, else those that hold the key
-    lo = np.where(inner, a, np.maximum(0, b - SPAN))[hit]
-    hi = np.where(inner, b - SPAN, np.minimum(a, n - SPAN))[hit]
+    run = b - a >= SPAN  # of a repetition the windows that touch it, else those that hold the key
+    lo = np.maximum(0, np.where(run, a - SPAN + 1, b - SPAN))[hit]
+    hi = np.minimum(np.where(run, b - 1, a), n - SPAN)[hit]
     np.add.at(cover, lo, 1)
     np.add.at(cover, np.maximum(hi + 1, lo), -1)
     starts = np.flatnonzero(np.cumsum(cover[:n]) > 0)
@@ -113,16 +114,21 @@ def _windows(text: str, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return _signed(w1), _signed(w2), starts
 
 
-_WINDOWS = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("start_pos", pa.int32())])
+_WINDOWS = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("start_pos", pa.int32()), ("last_pos", pa.int32()), ("first", pa.bool_())])
 
 
 def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All places of every distinct window, consecutive ones as one row; ``first`` marks one row of each window."""
     for batch in batches:
         for h1, h2, text, keys in zip(*(batch.column(i).to_pylist() for i in range(4))):
             w1, w2, starts = _windows(text, np.array(keys, dtype=np.int64))
-            _, first = np.unique(w1, return_index=True)
-            same = np.full(len(first), h1, np.int64), np.full(len(first), h2, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(w1[first]), pa.array(w2[first]), *map(pa.array, same), pa.array(starts[first].astype(np.int32))], schema=_WINDOWS)
+            order = np.lexsort((starts, w1))
+            w1, w2, starts = w1[order], w2[order], starts[order].astype(np.int32)
+            first = np.append(True, w1[1:] != w1[:-1])[: len(w1)]
+            at = np.flatnonzero(first | np.append(True, np.diff(starts) != 1)[: len(w1)])
+            last = starts[np.append(at[1:], len(starts)) - 1] if len(at) else starts
+            same = np.full(len(at), h1, np.int64), np.full(len(at), h2, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w1[at], w2[at], *same, starts[at], last, first[at])], schema=_WINDOWS)
 
 
 def common_spans(a: str, b: str, span: int = SPAN) -> list[tuple[int, int]]:
@@ -205,15 +211,16 @@ def shared_classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     if not hot.isEmpty():
         wanted = hot.groupBy("h1", "h2").agg(F.collect_set("key").alias("keys"))
         texts = _texts(hashed, checkpointed(hot.select("h1", "h2").distinct()))
-        windows = texts.join(wanted, ["h1", "h2"]).select("h1", "h2", "text", "keys").mapInArrow(_emit_windows, "w1 long, w2 long, h1 long, h2 long, start_pos int")
+        windows = texts.join(wanted, ["h1", "h2"]).select("h1", "h2", "text", "keys").mapInArrow(_emit_windows, "w1 long, w2 long, h1 long, h2 long, start_pos int, last_pos int, first boolean")
         windows = checkpointed(windows)
-        groups = windows.groupBy("w1", "w2").agg(
+        once = windows.where("first").select("w1", "w2", "h1", "h2")
+        groups = once.groupBy("w1", "w2").agg(
             F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("h1", "h2")).alias("s1"), F.bit_xor(F.xxhash64("h2", "h1")).alias("s2")
         ).where("n > 1")
         one_each = groups.groupBy("n", "s1", "s2").agg(F.min(F.struct("w1", "w2")).alias("w")).select("w.w1", "w.w2")
-        pairs = pairs.union(_pairs_of_groups(windows.join(one_each, ["w1", "w2"]), "w1", "w2")).distinct()
+        pairs = pairs.union(_pairs_of_groups(once.join(one_each, ["w1", "w2"]), "w1", "w2")).distinct()
         in_groups = windows.join(groups.select("w1", "w2"), ["w1", "w2"])
-        spans = spans.union(in_groups.select("h1", "h2", F.col("start_pos").alias("lo"), (F.col("start_pos") + SPAN).alias("hi")))
+        spans = spans.union(in_groups.select("h1", "h2", F.col("start_pos").alias("lo"), (F.col("last_pos") + SPAN).alias("hi")))
     return checkpointed(pairs), spans
 
 

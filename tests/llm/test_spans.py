@@ -62,3 +62,22 @@ def test_copies_nulls_amounts(spark):
     assert got[1]["shared_chars"] == 700 and got[2]["class_id"] == 1 and got[1]["n_copies"] == 2
     assert 250 <= got[3]["shared_chars"] <= 252 and got[3]["n_linked_classes"] == 1 and got[8]["shared_chars"] == 0
     assert ss.shared_pairs(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("hot", [3, 64])
+def test_amounts_count_every_occurrence(spark, monkeypatch, hot):
+    monkeypatch.setattr(ss, "HOT", hot)
+    rng = random.Random(8)
+    word = lambda k: "".join(rng.choice("abcdefghijklmnop ") for _ in range(k))
+    twice = word(260)
+    rows = [(i, word(50) + twice + word(70) + twice + word(40)) for i in range(6)] + [(10 + i, word(60) + "." * (300 + i) + word(60)) for i in range(6)]
+    windows = {}
+    for i, t in rows:
+        for k in range(len(t) - ss.SPAN + 1):
+            windows.setdefault(t[k : k + ss.SPAN], set()).add(i)
+    wanted = {}
+    for i, t in rows:
+        wanted[i] = len({c for k in range(len(t) - ss.SPAN + 1) if len(windows[t[k : k + ss.SPAN]]) > 1 for c in range(k, k + ss.SPAN)})
+    df = spark.createDataFrame([(i, t, None, 1) for i, t in rows], SCHEMA)
+    assert {r["doc_id"]: r["shared_chars"] for r in ss.shared_amounts(df).collect()} == wanted
+    assert wanted[0] >= 520 and wanted[10] >= 300
