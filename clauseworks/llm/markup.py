@@ -75,7 +75,7 @@ MARKDOWN = re.compile(
     re.M,
 )
 #: A record without any of these characters carries no mark; tested in the JVM before Python sees it.
-HINT = r"[<&\\$*_`#|{\[~']|^>|^[=-]{3}|={2}"
+HINT = r"[<>&\\$*_`#|{\[~'=!\u200b-\u200f\u2060\ufeff\u00ad]|-{3}"
 
 
 def marks(text: str) -> list[str]:

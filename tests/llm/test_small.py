@@ -164,3 +164,9 @@ def test_numbers_and_common_openings_stay(spark):
         assert "Home" not in clean and "Page" not in clean and "reserved" not in clean
         assert "§§ Scope" in clean and f"§§ Part {'abc'[int(i) % 3]}{i}" in clean and f"v{i} = 9 m/s2" in "".join(clean.split("\n")) and f"text {i}" in clean
         assert f"¦ {i}" in clean and "¦ 7" in clean and "• seal" in clean and f"• item {i}" in clean
+
+
+def test_found_sees_every_mark(spark):
+    rows = [("f", "w", "= Title =\nx", "s"), ("f", "m", "Title\n=\nx", "s"), ("f", "q", "a\n\u200b> b", "s"), ("f", "n", "a = b", "s")]
+    got = {tuple(r)[1:] for r in markup.found(spark.createDataFrame(rows, VALUES + ", site string")).collect()}
+    assert got == {(r[1], lang) for r in rows for lang in markup.marks(r[2])} and {("w", "wiki"), ("m", "markdown"), ("q", "markdown")} <= got and "n" not in {r for r, _ in got}
