@@ -136,7 +136,10 @@ def language_of(text: str) -> str:
 
 
 def _spans(text: str, lang: str) -> list[tuple[int, int]]:
-    """Quotations and brackets (open and close position), the innermost not longer than a sentence may be."""
+    """Quotations and brackets (open and close position) of any length; what is unclosed ends with its paragraph.
+
+    A straight quote, and an apostrophe that may be a closing one, reach no further than _LONGEST_SPAN.
+    """
     quotes = ["„“", "‚‘"] if lang == "de" else ["“”", "‘’"]
     opens, closes = {}, {}
     for a, b in [*PAIRS, *quotes]:
@@ -145,7 +148,9 @@ def _spans(text: str, lang: str) -> list[tuple[int, int]]:
     out, straight = [], -1
     for m in _MARKS.finditer(text):
         ch, i = m[0], m.start()
-        if ch == '"':
+        if "\n" in ch:
+            stack.clear()
+        elif ch == '"':
             if straight >= 0 and i - straight <= _LONGEST_SPAN:
                 out.append((straight, i))
                 straight = -1
@@ -154,16 +159,16 @@ def _spans(text: str, lang: str) -> list[tuple[int, int]]:
         elif ch in opens:
             stack.append((ch, i))
         elif ch in closes:
-            for k in range(len(stack) - 1, max(-1, len(stack) - 4), -1):
+            for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == closes[ch]:
-                    if i - stack[k][1] <= _LONGEST_SPAN:
+                    if ch != "’" or i - stack[k][1] <= _LONGEST_SPAN:
                         out.append((stack[k][1], i))
                     del stack[k:]
                     break
     return out
 
 
-_MARKS = re.compile("[" + re.escape("".join(PAIRS)) + "“”„‘’‚\"]")
+_MARKS = re.compile("[" + re.escape("".join(PAIRS)) + "“”„‘’‚\"]|\\n[ \\t]*\\n")
 
 
 def boundaries(text: str, lang: str) -> list[int]:

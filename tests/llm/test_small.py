@@ -170,3 +170,11 @@ def test_found_sees_every_mark(spark):
     rows = [("f", "w", "= Title =\nx", "s"), ("f", "m", "Title\n=\nx", "s"), ("f", "q", "a\n\u200b> b", "s"), ("f", "n", "a = b", "s")]
     got = {tuple(r)[1:] for r in markup.found(spark.createDataFrame(rows, VALUES + ", site string")).collect()}
     assert got == {(r[1], lang) for r in rows for lang in markup.marks(r[2])} and {("w", "wiki"), ("m", "markdown"), ("q", "markdown")} <= got and "n" not in {r for r, _ in got}
+
+
+def test_long_and_nested_spans_hold_together():
+    inner = "The drum turns slowly here. " * 30
+    assert len(sentences.sentences(f"The plate ({inner}it says) must be read. The end.")) == 2
+    assert len(sentences.sentences(f"The plate “{inner}it says” must be read. The end.")) == 2
+    assert len(sentences.sentences("It (see [a, “b «c {d Stop! Go on.) must be read. The end.")) == 2
+    assert len(sentences.sentences("It (is open. So it is.\n\nAnother one) here. The end.")) == 4
