@@ -2,28 +2,36 @@ r"""Problem 3: markup residue in text documents.
 
 Every record with a mark of HTML, Markdown, wiki or LaTeX syntax is parsed into a
 tree of presentation nodes (element, fence, table, heading, template ...) with
-content leaves. The trees of one site are merged into a site style tree: per path
-of nodes and content of a block, how many records show it, and in which styles the
-path comes. A block's importance joins the entropy of its path's presentation
-styles with the rarity of its content (a content that repeats on every page
-carries nothing); blocks of low importance are removed from each record before its
-text is written out. Headings, items, cells, code, formulas, subscripts and
-superscripts are never removed. Digits are masked, so that page counts repeat,
-only inside navigation, headers and footers.
+content leaves; every node knows the languages whose marks stand in it. The trees
+of one host are merged into a site style tree. A content's importance joins the
+entropy of its path's presentation styles with the rarity of the content (what
+repeats on every page carries nothing). A branch's composite importance joins the
+entropy of the styles of its whole subtree with the mean importance of the
+contents below it. Removed are contents of low importance, branches all of whose
+contents are low, and navigation, headers and footers whose composite importance
+is low, with all that stands in them.
+
+The found query reads the languages of the nodes that are kept; a removed branch
+counts as the HTML elements that bound it. So that no mark is lost with a branch,
+nodes with marks of another language are never removed, nor are headings, items,
+cells, code, formulas, subscripts and superscripts outside of furniture. Digits
+are masked, so that page counts repeat, only inside furniture.
 
 Output notation: headings are lines of their own after one section sign per
 level, list items start with a bullet, table cells are separated by a broken bar,
 code is indented by four blanks, formulas stand between angle brackets
 U+27E8 and U+27E9.
 
-Sites: the host of a document's source_url, else its publisher; for provisions the
-series that leads the document_id. Only distinct (record, path, content) rows are
-shuffled; the list of removed contents per site joins back by Spark's own size check.
+Sites: the host of a document's source_url, else its publisher; a provision has
+the site of its document, else the series that leads the document_id. Only
+distinct (record, path, content) rows are shuffled; removals go out by a checked
+broadcast.
 
 Defined results: null and empty values give no row; a record without marks keeps
 its text; unclosed and crossed elements close at the end; unknown elements are
-text; a site with fewer than ``MIN_PAGES`` records loses no block; repeated rows
-are cleaned each, the found query gives them once.
+text; of a path deeper than ``DEEPEST`` nodes the middle ones are left out; a site
+with fewer than ``MIN_PAGES`` records loses nothing; repeated rows are cleaned
+each, the found query gives them once.
 """
 
 from __future__ import annotations
@@ -33,17 +41,23 @@ import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from itertools import groupby
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clauseworks.llm.fields import arrow_rows
+from clauseworks.llm.scale import sized
 from clauseworks.session import checkpointed
 
 LANGUAGES = ("html", "markdown", "wiki", "latex")
 #: A block is removed below this importance, on sites of at least so many records.
 LOW, MIN_PAGES, GAMMA = 0.2, 20, 0.9
+#: Nodes of a path, the outermost and innermost half of it if there are more.
+DEEPEST = 32
+#: Path of what belongs to a record as a whole; it is never removed.
+ROOT = "record"
 
 # The elements of HTML.
 ELEMENTS = (
@@ -83,14 +97,21 @@ def marks(text: str) -> list[str]:
     out = []
     if TAG.search(text) or any(html.unescape(m[0]) != m[0] for m in REFERENCE.finditer(text)):
         out.append("html")
-    rest = re.sub(r"[\u200b-\u200f\u2060\ufeff\u00ad]", "", text)
-    bare = TAG.sub(lambda m: "\n" * m[0].count("\n"), rest) if out else rest
-    wiki = next((m for m in WIKI.finditer(bare) if _is_wiki(m[0])), None)
+    rest = _HIDDEN.sub("", text)
+    return out + _line_marks(TAG.sub(lambda m: "\n" * m[0].count("\n"), rest) if out else rest, rest)
+
+
+_HIDDEN = re.compile("[\u200b-\u200f\u2060\ufeff\u00ad]")
+
+
+def _line_marks(bare: str, whole: str) -> list[str]:
+    """The languages other than HTML whose marks a text without elements carries; LaTeX is looked for in ``whole``."""
+    out = []
     if _is_markdown(bare):
         out.append("markdown")
-    if wiki:
+    if any(_is_wiki(m[0]) for m in WIKI.finditer(bare)):
         out.append("wiki")
-    if LATEX.search(rest):
+    if LATEX.search(whole):
         out.append("latex")
     return out
 
@@ -147,17 +168,26 @@ def marked_lines(text: str, langs: list[str]) -> frozenset[int]:
     return frozenset(n for lo, hi in spans for n in range(text.count("\n", 0, lo), text.count("\n", 0, max(lo, hi - 1)) + 1))
 
 
+class Leaf(NamedTuple):
+    """Content of a record's tree: its path of nodes, their styles, and the languages of its marks."""
+
+    path: str
+    style: str
+    text: str
+    languages: tuple[str, ...] = ()
+
+
 class _Tree(HTMLParser):
-    """Leaves of a record's tree in order: (path, style, text), the text of block leaves joined."""
+    """Leaves of a record's tree in order, the text of block leaves joined."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[str] = []
         self.styles: list[str] = []
-        self.leaves: list[tuple[str, str, str]] = []
+        self.leaves: list[Leaf] = []
 
     def path(self) -> str:
-        return "/".join(self.stack) or "text"
+        return "/".join(_ends(self.stack)) or "text"
 
     def handle_starttag(self, tag, attrs):
         if tag == "br":
@@ -180,34 +210,44 @@ class _Tree(HTMLParser):
             del self.stack[at:], self.styles[at:]
 
     def handle_comment(self, data):
-        self.leaves.append((self.path() + "/comment", "comment", data))
+        self.leaves.append(Leaf(self.path() + "/comment", "comment", data))
 
     def handle_data(self, data):
-        path, style = self.path(), " ".join(self.styles)
-        if self.leaves and self.leaves[-1][0] == path:
-            self.leaves[-1] = (path, style, self.leaves[-1][2] + data)
+        path, style = self.path(), " ".join(_ends(self.styles))
+        if self.leaves and self.leaves[-1].path == path:
+            self.leaves[-1] = Leaf(path, style, self.leaves[-1].text + data)
         else:
-            self.leaves.append((path, style, data))
+            self.leaves.append(Leaf(path, style, data))
+
+
+def _ends(nodes: list[str]) -> list[str]:
+    return nodes if len(nodes) <= DEEPEST else nodes[: DEEPEST // 2] + nodes[-DEEPEST // 2 :]
 
 
 _NOT_TAG = re.compile(rf"<(?!/?(?:{_NAMES})(?:[\s/>])|!--|!DOCTYPE)", re.I)
 
 
-def leaves(text: str, langs: list[str]) -> list[tuple[str, str, str]]:
-    """(path, style, text) of the content leaves of a record, in order."""
+def leaves(text: str, langs: list[str]) -> list[Leaf]:
+    """The content leaves of a record, in order."""
     if "html" in langs:
         tree = _Tree()
         tree.feed(_NOT_TAG.sub("&lt;", text))
         tree.close()
         found = tree.leaves
     else:
-        found = [("text", "text", text)]
+        found = [Leaf("text", "text", text)]
+    others = {"markdown", "wiki", "latex"} & set(langs)
     out = []
-    for path, style, data in found:
-        if not {"script", "style", "comment", "pre", "code"} & set(path.split("/")) and {"markdown", "wiki", "latex"} & set(langs):
-            out += [(f"{path}/{kind}" if kind else path, f"{style} {kind}".strip(), body) for kind, body in _lines(data, langs)]
+    for path, style, data, _ in found:
+        nodes = path.split("/")
+        own = ("html",) if "html" in langs and (nodes[0] != "text" or nodes[-1] == "comment") else ()
+        if others:
+            plain = _HIDDEN.sub("", data)
+            own += tuple(x for x in _line_marks(plain, plain) if x in others)
+        if others and not {"script", "style", "comment", "pre", "code"} & set(nodes):
+            out += [Leaf(f"{path}/{kind}" if kind else path, f"{style} {kind}".strip(), body, own) for kind, body in _lines(data, langs)]
         else:
-            out.append((path, style, data))
+            out.append(Leaf(path, style, data, own))
     return out
 
 
@@ -326,28 +366,28 @@ def _block(path: str) -> str:
     return "/".join(nodes[: at + 1]) or nodes[0]
 
 
-def blocks(found: list[tuple[str, str, str]]) -> Iterator[tuple[str, int, list[tuple[str, str, str]]]]:
+def blocks(found: list[Leaf]) -> Iterator[tuple[str, int, list[Leaf]]]:
     """(path, content, leaves) of a record's blocks; the inline leaves of a block are one content."""
-    for path, of in groupby(found, lambda leaf: _block(leaf[0])):
+    for path, of in groupby(found, lambda leaf: _block(leaf.path)):
         part = list(of)
-        yield path, _signature(path, "".join(data for _, _, data in part)), part
+        yield path, _signature(path, "".join(leaf.text for leaf in part)), part
 
 
-def _stays(path: str, part: list[tuple[str, str, str]]) -> bool:
-    """Blanks and what gives a text its structure stay however often they come, except in furniture of a page."""
-    text = "".join(data for _, _, data in part)
-    if not text.strip():
+def _stays(path: str, part: list[Leaf]) -> bool:
+    """Blanks, marks of another language than HTML, and what gives a text its structure stay however often they come."""
+    text = "".join(leaf.text for leaf in part)
+    if not text.strip() or any(x != "html" for leaf in part for x in leaf.languages):
         return True
-    return not FURNITURE & set(path.split("/")) and (any(STRUCTURE & set(leaf[0].split("/")) for leaf in part) or bool(FORMULA.search(text) or LATEX.search(text)))
+    return not FURNITURE & set(path.split("/")) and (any(STRUCTURE & set(leaf.path.split("/")) for leaf in part) or bool(FORMULA.search(text) or LATEX.search(text)))
 
 
-def written(found: list[tuple[str, str, str]], dropped: frozenset[tuple[str, int]] = frozenset()) -> str:
-    """The clean text of a record's leaves, without the ``dropped`` (path, content) blocks."""
+def written(found: list[Leaf], dropped: frozenset[tuple[str, int | None]] = frozenset()) -> str:
+    """The clean text of a record's leaves, without the ``dropped`` (path, content) blocks; content None drops the path."""
     out: list[str] = []
     kept = found
     if dropped:
-        kept = [leaf for path, content, part in blocks(found) if (path, content) not in dropped or _stays(path, part) for leaf in part]
-    for path, _, data in kept:
+        kept = [leaf for path, content, part in blocks(found) if not {(path, content), (path, None)} & dropped or _stays(path, part) for leaf in part]
+    for path, _, data, _ in kept:
         nodes = path.split("/")
         if SILENT & set(nodes) or nodes[-1] == "comment":
             continue
@@ -391,56 +431,124 @@ def _signature(path: str, text: str) -> int:
     return int.from_bytes(hashlib.blake2b(plain.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
-NODES = "field_name string, rec_id string, site string, languages array<string>, path string, style string, content long, first int"
+NODES = "field_name string, rec_id string, site string, path string, style string, content long, first int, stays boolean, languages array<string>"
 _NODES_ARROW = pa.schema(
-    [("field_name", pa.string()), ("rec_id", pa.string()), ("site", pa.string()), ("languages", pa.list_(pa.string())), ("path", pa.string()), ("style", pa.string()), ("content", pa.int64()), ("first", pa.int32())]
+    [("field_name", pa.string()), ("rec_id", pa.string()), ("site", pa.string()), ("path", pa.string()), ("style", pa.string()), ("content", pa.int64()), ("first", pa.int32()), ("stays", pa.bool_()), ("languages", pa.list_(pa.string()))]
 )
 
 
+def nodes_of(value: str) -> Iterator[tuple[str, str, int, int, bool, list[str]]]:
+    """(path, style, content, first, stays, languages) of a record's distinct (path, content); ``first`` is 1 once for each path.
+
+    A language that no single block shows (a character reference in plain text, a
+    construct across blocks) stands at the record's root.
+    """
+    langs = marks(value)
+    if not langs:
+        return
+    paths: set[str] = set()
+    nodes: dict[tuple[str, int], tuple] = {}
+    for path, content, part in blocks(leaves(value, langs)):
+        own = {x for leaf in part for x in leaf.languages}
+        if (path, content) in nodes:
+            style, first, stays, before = nodes[path, content]
+            nodes[path, content] = style, first, stays or _stays(path, part), before | own
+        else:
+            nodes[path, content] = part[0].style, int(path not in paths), _stays(path, part), own
+            paths.add(path)
+    missing = set(langs).difference(*(n[3] for n in nodes.values()))
+    if missing:
+        yield ROOT, " ".join(langs), _signature(ROOT, value), 1, True, sorted(missing)
+    for (path, content), (style, first, stays, own) in nodes.items():
+        yield path, style, content, first, stays, sorted(own)
+
+
 def _emit_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every record's distinct (path, content); ``first`` is 1 once for each of its paths."""
     for batch in batches:
         cols = [[] for _ in _NODES_ARROW]
         for field, rec, site, value in arrow_rows(batch, "field_name", "rec_id", "site", "value"):
-            langs = marks(value)
-            if not langs:
-                continue
-            paths, seen = set(), set()
-            for path, content, part in blocks(leaves(value, langs)):
-                if (path, content) in seen:
-                    continue
-                seen.add((path, content))
-                for col, v in zip(cols, (field, rec, site, langs, path, part[0][1], content, int(path not in paths))):
+            for node in nodes_of(value):
+                for col, v in zip(cols, (field, rec, site, *node)):
                     col.append(v)
-                paths.add(path)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _NODES_ARROW.types)], schema=_NODES_ARROW)
 
 
 def site_of(df: DataFrame) -> Column:
     """The site of a row: host of source_url, else publisher, else the series of its document_id."""
-    series = F.regexp_extract("document_id", r"^[a-z]+(?:-[a-z]+)*", 0)
     host = F.lower(F.regexp_extract("source_url", r"^[a-z]+://([^/:?#]+)", 1)) if "source_url" in df.columns else F.lit(None)
     publisher = F.col("publisher") if "publisher" in df.columns else F.lit(None)
-    return F.coalesce(F.nullif(host, F.lit("")), publisher, F.nullif(series, F.lit("")), F.lit("unknown"))
+    return F.coalesce(F.nullif(host, F.lit("")), publisher, _series(), F.lit("unknown"))
+
+
+def _series() -> Column:
+    return F.nullif(F.regexp_extract("document_id", r"^[a-z]+(?:-[a-z]+)*", 0), F.lit(""))
+
+
+def with_document_sites(provisions: DataFrame, documents: DataFrame) -> DataFrame:
+    """``provisions`` with the ``site`` of their document, else of their series."""
+    sites = documents.where("document_id is not null").groupBy(F.col("document_id").alias("_site_id")).agg(F.min(site_of(documents)).alias("_site"))
+    joined = provisions.join(sized(checkpointed(sites)), F.col("document_id") == F.col("_site_id"), "left")
+    return joined.withColumn("site", F.coalesce("_site", _series(), F.lit("unknown"))).drop("_site", "_site_id")
 
 
 def hinted(values: DataFrame) -> DataFrame:
     return values.where(F.col("value").rlike("(?m)" + HINT))
 
 
+def _entropy(total: Column, weighted: Column) -> Column:
+    """Entropy of counts n from their sum and the sum of n log n, to the base of the sum: 1 is an even spread."""
+    return (F.log(total.cast("double")) - weighted / total) / F.log(F.greatest(total, F.lit(2)).cast("double"))
+
+
 def style_tree(nodes: DataFrame) -> DataFrame:
-    """Merged trees: (site, path, content, pages, importance).
+    """Merged trees: (site, path, content, n, pages, importance) of the content leaves.
 
     Entropies are to the base of the number of pages, so 1 is an even spread. With n
     of m pages showing a content, its importance is one minus its own entropy log_m n.
     """
     by_content = nodes.groupBy("site", "path", "content").agg(F.count(F.lit(1)).alias("n"))
-    by_style = nodes.groupBy("site", "path", "style").agg(F.count(F.lit(1)).alias("n"), F.sum("first").alias("firsts"))
-    styles = by_style.groupBy("site", "path").agg(F.sum("firsts").alias("pages"), F.sum("n").alias("all"), F.sum(F.col("n") * F.log("n")).alias("weighted"))
+    styles = _styles(nodes).groupBy("site", "path").agg(F.sum("firsts").alias("pages"), F.sum("n").alias("all"), F.sum(F.col("n") * F.log("n")).alias("weighted"))
     content = F.lit(1.0) - F.log("n") / F.log(F.greatest("pages", F.lit(2)).cast("double"))
-    presentation = (F.log(F.col("all").cast("double")) - F.col("weighted") / F.col("all")) / F.log(F.greatest("all", F.lit(2)).cast("double"))
-    importance = F.when(F.col("pages") > 1, (1 - GAMMA) * presentation + GAMMA * content).otherwise(1.0)
-    return by_content.join(styles, ["site", "path"]).select("site", "path", "content", "pages", importance.alias("importance"))
+    importance = F.when(F.col("pages") > 1, (1 - GAMMA) * _entropy(F.col("all"), F.col("weighted")) + GAMMA * content).otherwise(1.0)
+    return by_content.join(styles, ["site", "path"]).select("site", "path", "content", "n", "pages", importance.alias("importance"))
+
+
+def _styles(nodes: DataFrame) -> DataFrame:
+    return nodes.groupBy("site", "path", "style").agg(F.count(F.lit(1)).alias("n"), F.sum("first").alias("firsts"))
+
+
+def _branches(df: DataFrame) -> DataFrame:
+    """``df`` once for every branch (leading part of its path) that it lies in."""
+    nodes = F.split("path", "/")
+    return df.withColumn("branch", F.explode(F.transform(F.sequence(F.lit(1), F.size(nodes)), lambda k: F.array_join(F.slice(nodes, 1, k), "/"))))
+
+
+def branch_tree(nodes: DataFrame, tree: DataFrame) -> DataFrame:
+    """Composite importance of every branch: (site, branch, pages, most, composite).
+
+    Contents and styles are first summed per path, so only rows of paths are repeated
+    for their branches. ``most`` is the highest importance of a content in the branch.
+    """
+    per_path = tree.groupBy("site", "path").agg(F.sum(F.col("n") * F.col("importance")).alias("weight"), F.sum("n").alias("n"), F.max("importance").alias("most"), F.max("pages").alias("pages"))
+    contents = _branches(per_path).groupBy("site", "branch").agg((F.sum("weight") / F.sum("n")).alias("mean"), F.max("most").alias("most"), F.max("pages").alias("pages"))
+    styles = _branches(_styles(nodes)).groupBy("site", "branch", "style").agg(F.sum("n").alias("n"))
+    styles = styles.groupBy("site", "branch").agg(_entropy(F.sum("n"), F.sum(F.col("n") * F.log("n"))).alias("presentation"))
+    composite = (1 - GAMMA) * F.col("presentation") + GAMMA * F.col("mean")
+    return contents.join(styles, ["site", "branch"]).select("site", "branch", "pages", "most", composite.alias("composite"))
+
+
+def removals(nodes: DataFrame) -> DataFrame:
+    """(site, path, content) of what the merged trees take out of every page; content null stands for the whole path.
+
+    Contents that low have n above pages ** (1 - LOW / GAMMA), so a path has few of them however many pages there are.
+    """
+    tree = checkpointed(style_tree(nodes).where(F.col("path") != ROOT))
+    often = F.col("pages") >= MIN_PAGES
+    leaves_ = tree.where(often & (F.col("importance") < LOW)).select("site", "path", "content")
+    furniture = F.substring_index("branch", "/", -1).isin(*sorted(FURNITURE))
+    low = branch_tree(nodes, tree).where(often & (F.col("composite") < LOW) & (furniture | (F.col("most") < LOW))).select("site", "branch")
+    paths = _branches(tree.select("site", "path").distinct()).join(low, ["site", "branch"], "left_semi").select("site", "path").distinct()
+    return leaves_.join(paths, ["site", "path"], "left_anti").unionByName(paths.withColumn("content", F.lit(None).cast("long")))
 
 
 def marked_nodes(values: DataFrame) -> DataFrame:
@@ -448,19 +556,26 @@ def marked_nodes(values: DataFrame) -> DataFrame:
     return hinted(values).select("field_name", "rec_id", "site", "value").mapInArrow(_emit_nodes, NODES)
 
 
+def judged_nodes(nodes: DataFrame) -> DataFrame:
+    """The nodes with ``kept``: neither their content nor a branch they lie in is removed by the merged trees."""
+    gone = checkpointed(removals(nodes))
+    one = gone.where("content is not null").withColumn("low", F.lit(True))
+    whole = gone.where("content is null").select("site", "path", F.lit(True).alias("whole"))
+    judged = nodes.join(sized(one), ["site", "path", "content"], "left").join(sized(whole), ["site", "path"], "left")
+    return judged.withColumn("kept", F.col("stays") | ~F.coalesce("low", "whole", F.lit(False))).drop("low", "whole")
+
+
 def found(values: DataFrame) -> DataFrame:
-    """(field_name, rec_id, markup): the languages of each record's presentation nodes in the merged trees."""
-    nodes = checkpointed(marked_nodes(values))
-    tree = style_tree(nodes).select("site", "path", "content", "importance")
-    merged = nodes.join(tree, ["site", "path", "content"]).groupBy("field_name", "rec_id", "languages").agg(F.max("importance").alias("importance"))
-    return merged.select("field_name", "rec_id", F.explode("languages").alias("markup")).distinct()
+    """(field_name, rec_id, markup): languages of each record's nodes that the merged trees keep; a removed node is HTML."""
+    judged = judged_nodes(checkpointed(marked_nodes(values)))
+    at_node = F.when(F.col("kept"), F.col("languages")).otherwise(F.array(F.lit("html")))
+    return judged.select("field_name", "rec_id", F.explode(at_node).alias("markup")).distinct()
 
 
 def cleaned(values: DataFrame) -> DataFrame:
-    """(field_name, rec_id, value, clean): every record's text without markup and low-importance blocks."""
-    tree = style_tree(marked_nodes(values))
-    low = tree.where((F.col("importance") < LOW) & (F.col("pages") >= MIN_PAGES)).groupBy("site").agg(F.collect_list(F.struct("path", "content")).alias("dropped"))
-    joined = values.join(low, "site", "left").select("field_name", "rec_id", "value", "dropped")
+    """(field_name, rec_id, value, clean): every record's text without markup and what the merged trees remove."""
+    low = checkpointed(removals(checkpointed(marked_nodes(values).drop("field_name", "rec_id", "languages"))).groupBy("site").agg(F.collect_list(F.struct("path", "content")).alias("dropped")))
+    joined = values.join(sized(low), "site", "left").select("field_name", "rec_id", "value", "dropped")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -29,13 +29,11 @@ def _lookalike_values(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _markup_values(spark: SparkSession, sf: str) -> DataFrame:
-    out = None
-    for name, rec, column in (("documents", "document_id", "source_text"), ("provisions", "provision_id", "text")):
-        df = table(spark, sf, name)
-        part = df.select(F.lit(f"{name}.{column}").alias("field_name"), F.col(rec).alias("rec_id"), F.col(column).alias("value"), markup.site_of(df).alias("site"))
-        part = part.where((F.col("value") != "") & F.col("rec_id").isNotNull())
-        out = part if out is None else out.unionByName(part)
-    return out
+    docs, provs = table(spark, sf, "documents"), table(spark, sf, "provisions")
+    docs = docs.select(F.lit("documents.source_text").alias("field_name"), F.col("document_id").alias("rec_id"), F.col("source_text").alias("value"), markup.site_of(docs).alias("site"))
+    provs = markup.with_document_sites(provs.select("document_id", "provision_id", "text"), table(spark, sf, "documents"))
+    provs = provs.select(F.lit("provisions.text").alias("field_name"), F.col("provision_id").alias("rec_id"), F.col("text").alias("value"), "site")
+    return docs.unionByName(provs).where((F.col("value") != "") & F.col("rec_id").isNotNull())
 
 
 def _split_values(spark: SparkSession, sf: str) -> DataFrame:

@@ -166,6 +166,39 @@ def test_numbers_and_common_openings_stay(spark):
         assert f"¦ {i}" in clean and "¦ 7" in clean and "• seal" in clean and f"• item {i}" in clean
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="<>p/b&;lt#$\\\\{}[]()|=!'*_~`- \n\u200bax1", max_size=24))
+def test_every_mark_passes_the_hint(text):
+    import re
+
+    langs = markup.marks(text)
+    assert not langs or re.search("(?m)" + markup.HINT, text)
+    assert {x for node in markup.nodes_of(text) for x in node[-1]} == set(langs)
+
+
+def test_removed_branches_count_as_html(spark):
+    links = "".join(f"<a>Part {c}</a> " for c in "abcdefgh")
+    page = lambda i: f"<nav><div>{links}</div><p>crumb {chr(97 + i % 26)}{chr(97 + i // 26)}</p></nav><p>**b{i}** and text {i}</p>"
+    rows = [("f", str(i), page(i), "s") for i in range(60)] + [("f", "only", f"<nav><div>{links}</div></nav>", "s"), ("f", "deep", "<div>" * 5000 + "x", "s")]
+    df = spark.createDataFrame(rows, VALUES + ", site string")
+    nodes = markup.marked_nodes(df)
+    gone = {(r["path"], r["content"] is None) for r in markup.removals(nodes).collect()}
+    assert ("nav/div", True) in gone and not any(path == "p" for path, _ in gone)
+    judged = {(r["rec_id"], r["path"]): r["kept"] for r in markup.judged_nodes(nodes).collect()}
+    assert not judged["only", "nav/div"] and judged["3", "p"]
+    got = {tuple(r)[1:] for r in markup.found(df).collect()}
+    assert got == {(r[1], "html") for r in rows} | {(str(i), "markdown") for i in range(60)}
+    assert not any("Part" in r["clean"] for r in markup.cleaned(df).collect())
+    plan = markup.removals(nodes)._jdf.queryExecution().optimizedPlan().toString()
+    assert markup.branch_tree(nodes, markup.style_tree(nodes))._jdf.queryExecution().optimizedPlan().toString().count("ln(") >= 3 and "Join" in plan
+
+
+def test_provisions_have_the_site_of_their_document(spark):
+    docs = spark.createDataFrame([("d-1", "https://Host.org/x", None), ("d-1", "https://host.org/y", None), ("e-2", None, "P"), (None, "https://n.org", None)], "document_id string, source_url string, publisher string")
+    provs = spark.createDataFrame([("d-1", "1"), ("e-2", "2"), ("iso-3", "3"), (None, "4")], "document_id string, provision_id string")
+    assert {r["provision_id"]: r["site"] for r in markup.with_document_sites(provs, docs).collect()} == {"1": "host.org", "2": "P", "3": "iso", "4": "unknown"}
+
+
 def test_found_sees_every_mark(spark):
     rows = [("f", "w", "= Title =\nx", "s"), ("f", "m", "Title\n=\nx", "s"), ("f", "q", "a\n\u200b> b", "s"), ("f", "n", "a = b", "s")]
     got = {tuple(r)[1:] for r in markup.found(spark.createDataFrame(rows, VALUES + ", site string")).collect()}
