@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from clauseworks.llm import mixing, packing, tokens
@@ -10,15 +11,40 @@ from clauseworks.llm import mixing, packing, tokens
 WINDOWS = "window_name string, capacity_tokens int, doc_id string"
 
 
-def test_nnls_fits():
-    cols = packing.patterns(64)
-    target = np.zeros(64)
-    target[[15, 31, 47]] = [40, 20, 10]
-    x = packing.nnls(cols, target)
-    fitted = np.zeros(64)
-    np.add.at(fitted, cols[0] - 1, x * cols[1])
-    np.add.at(fitted, cols[2] - 1, x * cols[3])
-    assert x.min() >= 0 and np.abs(fitted - target).max() < 0.5
+def test_nnls_is_the_least_squares_optimum():
+    rng = np.random.default_rng(3)
+    for steps in (16, 40, 64):
+        target = rng.integers(0, 60, steps).astype(float)
+        cols = packing.patterns(target.astype(int), steps)
+        weight = np.sqrt(np.arange(1, steps + 1))
+        x = packing.nnls(cols, target, weight)
+        fitted = np.zeros(steps)
+        for k in (0, 2, 4):
+            np.add.at(fitted, cols[:, k] - 1, x * cols[:, k + 1])
+        miss = (target - fitted) * weight
+        slope = sum(miss[cols[:, k] - 1] * cols[:, k + 1] * weight[cols[:, k] - 1] for k in (0, 2, 4))
+        norm = np.sqrt(sum((cols[:, k + 1] * weight[cols[:, k] - 1]) ** 2 for k in (0, 2, 4)))
+        assert x.min() >= 0 and (slope / norm).max() <= 0.05 * weight[-1] + 1e-6  # nothing enters,
+        assert np.abs((slope / norm)[x > 1e-6]).max(initial=0) < 1e-3  # nothing in it moves
+
+
+def test_patterns_are_exact_and_supplied():
+    counts = np.zeros(100, dtype=int)
+    counts[[0, 9, 19, 29, 49, 99]] = [100, 3, 5, 2, 2, 1]
+    got = packing.patterns(counts, 100)
+    assert (sum(got[:, k] * got[:, k + 1] for k in (0, 2, 4)) == 100).all()
+    for row in got.tolist():
+        assert all(n <= counts[b - 1] for b, n in zip(row[0::2], row[1::2]))
+    rows = {tuple(sorted((b, n) for b, n in zip(r[0::2], r[1::2]) if n)) for r in got.tolist()}
+    assert {((100, 1),), ((50, 2),), ((1, 100),), ((20, 1), (30, 1), (50, 1)), ((1, 80), (20, 1))} <= rows
+
+
+def test_patterns_do_the_packing():
+    rng = np.random.default_rng(1)
+    steps = 256
+    sizes = np.clip(np.rint(rng.lognormal(4.2, 0.8, 40_000)), 1, steps).astype(int)
+    _, fitted, containers = packing.plan(dict(enumerate(np.bincount(sizes).tolist()[1:], 1)), steps)
+    assert containers <= 1.002 * -(-sizes.sum() // steps) and fitted > 0.97 * containers
 
 
 def test_plan_uses_every_item_once():
@@ -26,7 +52,8 @@ def test_plan_uses_every_item_once():
     for _ in range(20):
         steps = rng.choice([7, 32, 100])
         histogram = {s: rng.randint(1, 50) for s in rng.sample(range(1, steps + 1), min(steps, 9))}
-        runs, containers = packing.plan(histogram, steps)
+        runs, fitted, containers = packing.plan(histogram, steps)
+        assert 0 <= fitted <= containers
         used, room = {}, np.full(containers, steps)
         for step, first, times, container in runs:
             for k in range(times):
@@ -47,12 +74,15 @@ def first_fit_decreasing(sizes, capacity):
     return len(rooms)
 
 
-def test_pack_table(spark):
+@pytest.mark.parametrize("rows_per_task", [packing.ROWS, 30])
+def test_pack_table(spark, monkeypatch, rows_per_task):
+    monkeypatch.setattr(packing, "ROWS", rows_per_task)
     rng = random.Random(2)
     rows = [(i, rng.choice([5, 40, 100, 100, 100, 512, 700, 1500])) for i in range(400)] + [(400, 0), (7, 100), (401, 513), (402, 5000)]
     windows = spark.createDataFrame([("w", 512, "clash"), ("x", 2048, "clash")], WINDOWS)
     counted = spark.createDataFrame(rows, "doc_id long, n_tokens long")
     packed = packing.pack(counted, windows).collect()
+    report = {r["window_name"]: r for r in packing.fill_report(packing.pack(counted, windows), windows).collect()}
     for name, capacity in (("w", 512), ("x", 2048)):
         mine = [r for r in packed if r["window_name"] == name]
         assert sum(r["n_tokens"] for r in mine) == sum(n for _, n in rows)
@@ -64,7 +94,8 @@ def test_pack_table(spark):
         assert len(fill) <= 1.02 * first_fit_decreasing([r["n_tokens"] for r in mine if r["n_tokens"]], capacity) + 1
         assert all(r["n_tokens"] == capacity or r["piece_no"] == 0 or r["start_token"] + r["n_tokens"] in (700, 1500, 513, 5000) for r in mine)
         assert [r["container_id"] for r in mine if r["doc_id"] == 400] == [-1]
-    assert packing.pack(counted.limit(0), windows).count() == 0
+        assert {r["container_id"] for r in mine if r["by_pattern"]} == set(range(report[name]["n_by_pattern"])) and report[name]["n_containers"] == len(fill)
+    assert packing.pack(counted.limit(0), windows).count() == packing.pack(counted, windows.limit(0)).count() == 0
 
 
 def test_token_counts(spark):
