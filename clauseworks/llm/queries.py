@@ -118,10 +118,14 @@ def p9_shared(spark: SparkSession, sf: str) -> DataFrame:
     return shared_spans.shared_amounts(table(spark, sf, "documents"))
 
 
+def p9_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return shared_spans.group_members(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (p1_found, p1_repaired, p2_found, p2_normalised, p3_found, p3_cleaned, p4_found, p4_pieces, p6_found, p6_sentences, p7_pack, p7_fill, p8_mix, p8_shares, p9_found, p9_shared)
+        for f in (p1_found, p1_repaired, p2_found, p2_normalised, p3_found, p3_cleaned, p4_found, p4_pieces, p6_found, p6_sentences, p7_pack, p7_fill, p8_mix, p8_shares, p9_found, p9_shared, p9_groups)
     }
 
 

@@ -10,6 +10,12 @@ are named, and the parses can differ only towards their ends.
 
 A symbol that has grown to ``freeze`` characters takes no further part, so
 symbols end up between a few and twice ``freeze`` characters long.
+
+Every symbol knows the stretch of text that decides it: a pair is decided by its
+two symbols; a symbol left alone by the neighbour it could have been paired with;
+the end of a run by the next character if that differs from what a further
+repetition would show, else by the next symbol. A text that holds this stretch,
+wherever, has the symbol in the same place of it.
 """
 
 from __future__ import annotations
@@ -40,51 +46,61 @@ def recompress(symbols: np.ndarray, owner: np.ndarray, freeze: int, rounds: int)
     """Parse of several texts laid end to end.
 
     ``symbols`` are code points, ``owner`` tells the text of each. Returns the
-    names, starts (in ``symbols``) and lengths of the final symbols, and for runs
-    the name of the repeated symbol and its length, else 0.
+    names, starts (in ``symbols``), lengths and texts of the final symbols, and
+    the stretch [lo, hi) that decides each; it reaches beyond its text where the
+    text's end decides.
     """
     n = len(symbols)
+    edge = np.ones(n + 1, dtype=bool)  # where a text begins or the last one ends
+    edge[1:n] = owner[1:] != owner[:-1]
     name = mix(symbols.astype(np.uint64))
-    start = np.arange(n, dtype=np.int64)
-    length = np.ones(n, dtype=np.int64)
-    base = np.zeros(n, dtype=np.uint64)
-    period = np.zeros(n, dtype=np.int64)
-    own = owner
+    start = np.arange(n, dtype=np.int32)
+    lo, hi = start.copy(), start + np.int32(1)
     for r in range(rounds):
-        if len(name) < 2:
+        end = np.append(start[1:], np.int32(n))
+        live = end - start < freeze
+        if not live.any():
             break
         # runs
-        same = (name[1:] == name[:-1]) & (own[1:] == own[:-1])
+        first, final = edge[start], edge[end]
+        same = name[1:] == name[:-1]
+        same &= live[1:] & ~first[1:]
+        # where a run ends: seen by one character, else by the next symbol
+        before = np.where(first | (symbols[start - 1] != symbols[end - 1]), start - 1, np.append(lo[:1], lo[:-1]))
+        after = np.where(final | (symbols.take(end, mode="clip") != symbols[start]), end + 1, np.append(hi[1:], hi[-1:]))
         if same.any():
-            head = np.concatenate([[True], ~same])
-            at = np.flatnonzero(head)
-            count = np.diff(np.append(at, len(name)))
-            new = name[at]
-            many = count > 1
-            base_new, period_new = base[at], period[at]
-            base_new[many], period_new[many] = new[many], length[at][many]
-            new = np.where(many, mix(new ^ mix(count.astype(np.uint64) * _M3)), new)
-            length, start, own, name, base, period = length[at] * count, start[at], own[at], new, base_new, period_new
-            if len(name) < 2:
-                break
+            at = np.flatnonzero(np.append(True, ~same))
+            last = np.append(at[1:], len(name)) - 1
+            count = last - at + 1
+            inner_lo, inner_hi = np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at)
+            many = np.flatnonzero(count > 1)
+            name = name[at]
+            name[many] = mix(name[many] ^ mix(count[many].astype(np.uint64) * _M3))
+            start, end, live, first, final, before, after = start[at], end[last], live[at], first[at], final[last], before[at], after[last]
+        else:
+            inner_lo, inner_hi = lo, hi
+        lo = np.where(live, np.minimum(inner_lo, before), inner_lo)
+        hi = np.where(live, np.maximum(inner_hi, after), inner_hi)
         # pairs
-        side = (mix(name ^ _SEEDS[r]) & np.uint64(1)).astype(bool)
-        live = length < freeze
-        pair = side[:-1] & ~side[1:] & live[:-1] & live[1:] & (own[1:] == own[:-1])
+        live = end - start < freeze
+        left = (mix(name ^ _SEEDS[r]) & np.uint64(1)).astype(bool)
+        pair = np.append(left[:-1] & ~left[1:] & live[:-1] & live[1:] & ~first[1:], False)
+        keep = ~np.append(False, pair[:-1])
         at = np.flatnonzero(pair)
-        if len(at):
-            name = name.copy()
-            name[at] = mix(name[at] * _M3 + mix(name[at + 1]) + np.uint64(r))
-            length = length.copy()
-            length[at] += length[at + 1]
-            base, period = base.copy(), period.copy()
-            base[at], period[at] = 0, 0
-            keep = np.ones(len(name), dtype=bool)
-            keep[at + 1] = False
-            name, start, length, own, base, period = (x[keep] for x in (name, start, length, own, base, period))
-        if not live.any():
-            break
-    return name, start, length, own, base, period
+        # a symbol left alone is decided by the neighbour on its open side
+        to_right, to_left = np.flatnonzero(live & left & ~pair), np.flatnonzero(live & ~left & keep)
+        next_, prev = to_right + 1, to_left - 1
+        none_right, none_left = final[to_right], first[to_left]
+        new_lo, new_hi = lo.copy(), hi.copy()
+        new_lo[to_right] = np.minimum(lo[to_right], np.where(none_right, lo[to_right], lo.take(next_, mode="clip")))
+        new_hi[to_right] = np.maximum(hi[to_right], np.where(none_right, end[to_right] + 1, hi.take(next_, mode="clip")))
+        new_lo[to_left] = np.minimum(lo[to_left], np.where(none_left, start[to_left] - 1, lo[prev]))
+        new_hi[to_left] = np.maximum(hi[to_left], np.where(none_left, hi[to_left], hi[prev]))
+        new_lo[at], new_hi[at] = np.minimum(lo[at], lo[at + 1]), np.maximum(hi[at], hi[at + 1])
+        name[at] = mix(name[at] * _M3 + mix(name[at + 1]) + np.uint64(r))
+        kept = np.flatnonzero(keep)
+        name, start, lo, hi = (x.take(kept) for x in (name, start, new_lo, new_hi))
+    return name, start.astype(np.int64), np.diff(np.append(start, n)).astype(np.int64), owner[start], lo.astype(np.int64), hi.astype(np.int64)
 
 
 _POWERS: dict[int, np.ndarray] = {}

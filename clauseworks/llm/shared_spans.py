@@ -5,13 +5,17 @@ for runs and pairs, round after round, so that equal substrings have equal
 interior symbols. Around every final symbol of length e two spans of
 (200 + e) / 2 characters are taken, one reaching left and one reaching right: a
 shared substring of 200 characters that holds the symbol holds one of the two,
-so records that share a span share a key. Keys of a single text go no further.
-
-Keys shared by few texts name candidate pairs, which are verified on the texts.
-Keys shared by more than ``HOT`` texts are never paired up: their texts hash all
-200-character windows around the key, and only windows shared in full make
-pairs, each distinct group of texts once. All places of such a window count for
-the shared amount.
+so records that share it share a key. Every symbol knows the stretch of text that
+decides it; the few windows of 200 characters that hold no such stretch (mostly
+repetitions of a short period) are keys themselves, each distinct one once. So no
+shared window is without a shared key.
+
+Keys that two classes of one batch share are known for shared on the spot; only
+two of their rows go to the count of the key, so a key of a third of all texts
+does not gather them. Texts with shared keys then hash the 200-character windows
+around these keys, two independent 64-bit hashes each; texts with an equal window
+share it. Windows with the same texts form one group; pairs are named within a
+group once. Nothing is paired before that.
 
 Exact copies are one class from the start (two 64-bit hashes of the text), so a
 class is parsed into keys per stored row but meets others once.
@@ -36,23 +40,22 @@ from clauseworks.llm.scale import sized
 from clauseworks.session import checkpointed
 
 SPAN = 200
-#: Symbols stop growing at this length; small enough that 200 characters always held whole ones in tests.
-FREEZE = 24
+#: Symbols stop growing at this length; the larger, the fewer keys and the more windows that are keys themselves.
+FREEZE = 28
 ROUNDS = 14
-#: Keys of more texts than this are resolved by whole windows instead of pairs.
-HOT = 64
-_CHUNK = 400_000  # characters parsed at once: bounds a worker's memory
+#: Characters parsed at once (few enough for a processor's cache), and those whose keys are compared on the spot.
+_PARSED, _CHUNK = 100_000, 1_000_000
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
+def _chunks(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
     lo, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t)
-        if size >= _CHUNK:
+        if size >= most:
             yield lo, i + 1
             lo, size = i + 1, 0
     if lo < len(texts):
@@ -67,33 +70,55 @@ def span_keys(texts: list[str], span: int = SPAN, freeze: int = FREEZE, rounds:
     begins = ends - sizes
     symbols = np.concatenate(coded) if coded else np.zeros(0, np.uint32)
     owner = np.repeat(np.arange(len(coded)), sizes)
-    _, start, length, own, base, period = rc.recompress(symbols, owner, freeze, rounds)
+    _, start, length, own, lo, hi = rc.recompress(symbols, owner, freeze, rounds)
     h = rc.prefix_sums(symbols)
-    reach = np.maximum(0, (span - length + 1) // 2)
-    out = []
+    # window starts that hold the stretch of some symbol
+    decided = (hi - lo <= span) & (lo >= begins[own]) & (hi <= ends[own])
+    cover = np.zeros(len(symbols) + 1, dtype=np.int64)
+    np.add.at(cover, np.maximum(hi - span, begins[own])[decided], 1)
+    np.add.at(cover, lo[decided] + 1, -1)
+    bare = np.flatnonzero((np.cumsum(cover[:-1]) == 0) & (np.arange(len(symbols)) + span <= np.repeat(ends, sizes)))
+    out = [(owner[bare], rc.span_hash(h, bare, bare + span), bare - begins[owner[bare]], bare + span - begins[owner[bare]])]
+    short = length <= span
+    start, length, own = start[short], length[short], own[short]
+    reach = (span - length + 1) // 2
     for left, right in ((reach, 0), (0, reach)):
         a, b = start - left, start + length + right
         ok = (a >= begins[own]) & (b <= ends[own])
         a, b, o = a[ok], b[ok], own[ok]
         out.append((o, rc.span_hash(h, a, b), a - begins[o], b - begins[o]))
-    run = (period > 0) & (length >= span)  # shared repetitions may start anywhere
-    if run.any():
-        o = own[run]
-        out.append((o, rc.mix(base[run]), start[run] - begins[o], start[run] + length[run] - begins[o]))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-_KEYS = pa.schema([("key", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())])
+KEYS = "place long, key long, h1 long, h2 long, known boolean"
+_KEYS = pa.schema([("place", pa.int64()), ("key", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("known", pa.bool_())])
 
 
 def _emit_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct (key, class) of each chunk; ``place`` is the key where other chunks have to be asked, else the row's own.
+
+    Of a key that several classes of the chunk hold, the first and last row ask for the others.
+    """
     for batch in batches:
         texts = batch.column(0).to_pylist()
-        h1, h2 = batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)
-        for lo, hi in _chunks(texts):
-            own, key, _, _ = span_keys(texts[lo:hi])
-            at = own.astype(np.int64) + lo
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(key)), pa.array(h1[at]), pa.array(h2[at])], schema=_KEYS)
+        h1, h2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+        for lo, hi in _chunks(texts, _CHUNK):
+            parts = []
+            for c, d in _chunks(texts[lo:hi], _PARSED):
+                own, key, _, _ = span_keys(texts[lo + c : lo + d])
+                parts.append((own.astype(np.int64) + lo + c, _signed(key)))
+            at, key = (np.concatenate(x) for x in zip(*parts))
+            a, b = h1[at], h2[at]
+            order = np.lexsort((b, a, key))
+            key, a, b = key[order], a[order], b[order]
+            new_key = np.append(True, key[1:] != key[:-1])[: len(key)]
+            once = new_key | np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(key)]
+            key, a, b, new_key = key[once], a[once], b[once], new_key[once]
+            last = np.append(new_key[1:], True)[: len(key)]
+            known = ~(new_key & last)
+            asks = new_key | last
+            place = np.where(asks, key, _signed(rc.mix(key.view(np.uint64) ^ rc.mix(a.view(np.uint64)))))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (place, key, a, b, known)], schema=_KEYS)
 
 
 def _windows(text: str, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -102,9 +127,8 @@ def _windows(text: str, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     hit = np.isin(_signed(key), wanted)
     n = len(text)
     cover = np.zeros(n + 1, dtype=np.int64)
-    run = b - a >= SPAN  # of a repetition the windows that touch it, else those that hold the key
-    lo = np.maximum(0, np.where(run, a - SPAN + 1, b - SPAN))[hit]
-    hi = np.minimum(np.where(run, b - 1, a), n - SPAN)[hit]
+    lo = np.maximum(0, b - SPAN)[hit]
+    hi = np.minimum(a, n - SPAN)[hit]
     np.add.at(cover, lo, 1)
     np.add.at(cover, np.maximum(hi + 1, lo), -1)
     starts = np.flatnonzero(np.cumsum(cover[:n]) > 0)
@@ -131,41 +155,6 @@ def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w1[at], w2[at], *same, starts[at], last, first[at])], schema=_WINDOWS)
 
 
-def common_spans(a: str, b: str, span: int = SPAN) -> list[tuple[int, int]]:
-    """Intervals of ``a`` covered by substrings of at least ``span`` characters that ``b`` holds too."""
-    if len(a) < span or len(b) < span:
-        return []
-    ca, cb = rc.codes(a), rc.codes(b)
-    at_a, at_b = np.arange(len(ca) - span + 1), np.arange(len(cb) - span + 1)
-    ha = rc.span_hash(rc.prefix_sums(ca), at_a, at_a + span)
-    hb = rc.span_hash(rc.prefix_sums(cb), at_b, at_b + span)
-    hits = np.flatnonzero(np.isin(ha, hb))
-    out: list[tuple[int, int]] = []
-    for run in np.split(hits, np.flatnonzero(np.diff(hits) > 1) + 1) if len(hits) else []:
-        if a[run[0] : run[0] + span] in b:
-            lo, hi = int(run[0]), int(run[-1]) + span
-            if out and lo <= out[-1][1]:
-                out[-1] = (out[-1][0], hi)
-            else:
-                out.append((lo, hi))
-    return out
-
-
-_VERIFIED = "a1 long, a2 long, b1 long, b2 long, spans_a array<struct<lo:int,hi:int>>, spans_b array<struct<lo:int,hi:int>>"
-_SPANS = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
-_VERIFIED_ARROW = pa.schema([("a1", pa.int64()), ("a2", pa.int64()), ("b1", pa.int64()), ("b2", pa.int64()), ("spans_a", _SPANS), ("spans_b", _SPANS)])
-
-
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    as_rows = lambda spans: [{"lo": a, "hi": b} for a, b in spans]
-    for batch in batches:
-        rows = []
-        for a1, a2, b1, b2, ta, tb in zip(*(batch.column(i).to_pylist() for i in range(6))):
-            if spans := common_spans(ta, tb):
-                rows.append({"a1": a1, "a2": a2, "b1": b1, "b2": b2, "spans_a": as_rows(spans), "spans_b": as_rows(common_spans(tb, ta))})
-        yield pa.RecordBatch.from_pylist(rows, schema=_VERIFIED_ARROW)
-
-
 def _hashed(documents: DataFrame) -> DataFrame:
     """doc_id, text and the two hashes that name the class of exact copies."""
     long_enough = documents.where(F.col("doc_id").isNotNull() & (F.length("text") >= SPAN))
@@ -185,43 +174,32 @@ def _texts(hashed: DataFrame, classes: DataFrame) -> DataFrame:
     return hashed.join(sized(classes), ["h1", "h2"]).dropDuplicates(["h1", "h2"]).select("h1", "h2", "text")
 
 
-def shared_classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of classes that share a span, and the shared intervals of every class.
+def shared_windows(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Windows that several classes hold.
 
-    Returns (a1, a2, b1, b2) and (h1, h2, lo, hi), both checkpointed.
+    Returns their places (w1, w2, h1, h2, start_pos, last_pos, first), checkpointed, and
+    per distinct window its number of classes and the name of their set
+    (w1, w2, n, s1, s2).
     """
     hashed = _hashed(documents)
-    keys = hashed.select("text", "h1", "h2").mapInArrow(_emit_keys, "key long, h1 long, h2 long")
-    by_key = Window.partitionBy("key")
-    several = (F.min("h1").over(by_key) != F.max("h1").over(by_key)) | (F.min("h2").over(by_key) != F.max("h2").over(by_key))
-    shared = keys.withColumns({"several": several, "n": F.count(F.lit(1)).over(by_key)}).where("several").select("key", "h1", "h2", "n").distinct()
-    shared = checkpointed(shared)
-
-    cold = checkpointed(_pairs_of_groups(shared.where(F.col("n") <= HOT), "key"))
-    ends = cold.select(F.col("a1").alias("h1"), F.col("a2").alias("h2")).union(cold.select("b1", "b2")).distinct()
-    texts = checkpointed(_texts(hashed, checkpointed(ends)))
-    ta = texts.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("text").alias("text_a"))
-    tb = texts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("text").alias("text_b"))
-    joined = cold.join(ta, ["a1", "a2"]).join(tb, ["b1", "b2"])
-    verified = checkpointed(joined.select("a1", "a2", "b1", "b2", "text_a", "text_b").mapInArrow(_verify, _VERIFIED))
-    pairs = verified.select("a1", "a2", "b1", "b2")
-    spans = verified.select(F.col("a1").alias("h1"), F.col("a2").alias("h2"), F.inline("spans_a")).union(verified.select("b1", "b2", F.inline("spans_b")))
-
-    hot = shared.where(F.col("n") > HOT)
-    if not hot.isEmpty():
-        wanted = hot.groupBy("h1", "h2").agg(F.collect_set("key").alias("keys"))
-        texts = _texts(hashed, checkpointed(hot.select("h1", "h2").distinct()))
-        windows = texts.join(wanted, ["h1", "h2"]).select("h1", "h2", "text", "keys").mapInArrow(_emit_windows, "w1 long, w2 long, h1 long, h2 long, start_pos int, last_pos int, first boolean")
-        windows = checkpointed(windows)
-        once = windows.where("first").select("w1", "w2", "h1", "h2")
-        groups = once.groupBy("w1", "w2").agg(
-            F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("h1", "h2")).alias("s1"), F.bit_xor(F.xxhash64("h2", "h1")).alias("s2")
-        ).where("n > 1")
-        one_each = groups.groupBy("n", "s1", "s2").agg(F.min(F.struct("w1", "w2")).alias("w")).select("w.w1", "w.w2")
-        pairs = pairs.union(_pairs_of_groups(once.join(one_each, ["w1", "w2"]), "w1", "w2")).distinct()
-        in_groups = windows.join(groups.select("w1", "w2"), ["w1", "w2"])
-        spans = spans.union(in_groups.select("h1", "h2", F.col("start_pos").alias("lo"), (F.col("last_pos") + SPAN).alias("hi")))
-    return checkpointed(pairs), spans
+    keys = hashed.select("text", "h1", "h2").mapInArrow(_emit_keys, KEYS)
+    at = Window.partitionBy("place")
+    several = F.col("known") | (F.min("h1").over(at) != F.max("h1").over(at)) | (F.min("h2").over(at) != F.max("h2").over(at))
+    shared = keys.withColumn("several", several).where("several").groupBy("h1", "h2").agg(F.collect_set("key").alias("keys"))
+    wanted = checkpointed(shared)
+    texts = _texts(hashed, wanted.select("h1", "h2")).join(wanted, ["h1", "h2"])
+    windows = checkpointed(texts.select("h1", "h2", "text", "keys").mapInArrow(_emit_windows, "w1 long, w2 long, h1 long, h2 long, start_pos int, last_pos int, first boolean"))
+    groups = windows.where("first").groupBy("w1", "w2").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("h1", "h2")).alias("s1"), F.bit_xor(F.xxhash64("h2", "h1")).alias("s2")
+    ).where("n > 1")
+    groups = checkpointed(groups)
+    return windows.join(groups.select("w1", "w2"), ["w1", "w2"], "left_semi"), groups
+
+
+def span_groups(windows: DataFrame, groups: DataFrame) -> DataFrame:
+    """(group_id, n, h1, h2): the classes of every set that shares a window, each set once."""
+    one_each = groups.groupBy("n", "s1", "s2").agg(F.min(F.struct("w1", "w2")).alias("w")).select("n", F.col("s1").alias("group_id"), "w.w1", "w.w2")
+    return windows.where("first").join(one_each, ["w1", "w2"]).select("group_id", "n", "h1", "h2")
 
 
 def _members(documents: DataFrame) -> DataFrame:
@@ -230,7 +208,8 @@ def _members(documents: DataFrame) -> DataFrame:
 
 def shared_pairs(documents: DataFrame) -> DataFrame:
     """(doc_a, doc_b) of all documents that share a span; copies are joined in at the end."""
-    pairs, _ = shared_classes(documents)
+    sets = checkpointed(span_groups(*shared_windows(documents)))
+    pairs = checkpointed(_pairs_of_groups(sets, "group_id", "n"))
     members = _members(documents)
     a = members.select(F.col("doc_id").alias("a"), F.col("h1").alias("a1"), F.col("h2").alias("a2"))
     b = members.select(F.col("doc_id").alias("b"), F.col("h1").alias("b1"), F.col("h2").alias("b2"))
@@ -239,35 +218,60 @@ def shared_pairs(documents: DataFrame) -> DataFrame:
     return between.union(within).where("a <> b").select(F.least("a", "b").alias("doc_a"), F.greatest("a", "b").alias("doc_b")).distinct()
 
 
+def links(sets: DataFrame) -> DataFrame:
+    """(h1, h2, n_groups, n_linked_classes): in how many groups a class is, and how many other classes these hold.
+
+    A class in a single group has the group's size. Of the others, classes in the
+    same groups are counted as one with their number, so a passage that very many
+    texts share is met once per combination of groups and not once per pair.
+    """
+    of = checkpointed(sets.groupBy("h1", "h2").agg(F.array_sort(F.collect_set("group_id")).alias("ids"), F.max("n").alias("n")))
+    single = of.where("size(ids) = 1").select("h1", "h2", F.lit(1).alias("n_groups"), (F.col("n") - 1).alias("n_linked_classes"))
+    kinds = checkpointed(of.groupBy("ids").agg(F.count(F.lit(1)).alias("weight")))
+    many = kinds.where("size(ids) > 1").select("ids", F.explode("ids").alias("group_id"))
+    others = kinds.select(F.xxhash64("ids").alias("other"), "weight", F.explode("ids").alias("group_id"))
+    met = many.join(others, "group_id").select("ids", "other", "weight").distinct().groupBy("ids").agg((F.sum("weight") - 1).alias("n_linked_classes"))
+    return single.unionByName(of.where("size(ids) > 1").join(met, "ids").select("h1", "h2", F.size("ids").alias("n_groups"), "n_linked_classes"))
+
+
 def shared_amounts(documents: DataFrame) -> DataFrame:
     """Per doc_id: its length, the characters of it that other documents hold too, and its class.
 
-    (doc_id, n_chars, shared_chars, n_copies, n_linked_classes, class_id): class_id is the
-    least doc_id among exact copies; n_linked_classes counts other classes that share a span
-    (their pairs are those of ``shared_pairs`` between class representatives).
+    (doc_id, n_chars, shared_chars, n_copies, n_groups, n_linked_classes, class_id): class_id
+    is the least doc_id among exact copies; n_linked_classes counts other classes that share
+    a span, n_groups the sets they form (the members are those of ``group_members``).
     """
-    pairs, spans = shared_classes(documents)
+    windows, groups = shared_windows(documents)
     order = Window.partitionBy("h1", "h2").orderBy("lo", "hi")
     before = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    spans = windows.select("h1", "h2", F.col("start_pos").alias("lo"), (F.col("last_pos") + SPAN).alias("hi"))
     covered = (
         spans.distinct()
         .withColumn("from", F.greatest("lo", F.coalesce(before, F.lit(0))))
         .groupBy("h1", "h2")
         .agg(F.sum(F.greatest(F.col("hi") - F.col("from"), F.lit(0))).alias("in_spans"))
     )
-    links = pairs.select(F.col("a1").alias("h1"), F.col("a2").alias("h2")).union(pairs.select("b1", "b2")).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_linked_classes"))
+    linked = links(checkpointed(span_groups(windows, groups)))
     docs = checkpointed(_hashed(documents).select("doc_id", "h1", "h2", F.length("text").alias("n_chars")).distinct())
     classes = docs.groupBy("h1", "h2").agg(F.min("doc_id").alias("class_id"), F.count_distinct("doc_id").alias("n_copies"))
     return (
         docs.join(classes, ["h1", "h2"])
         .join(covered, ["h1", "h2"], "left")
-        .join(links, ["h1", "h2"], "left")
+        .join(linked, ["h1", "h2"], "left")
         .select(
             "doc_id",
             "n_chars",
             F.when(F.col("n_copies") > 1, F.col("n_chars")).otherwise(F.coalesce("in_spans", F.lit(0))).cast("long").alias("shared_chars"),
             "n_copies",
+            F.coalesce("n_groups", F.lit(0)).alias("n_groups"),
             F.coalesce("n_linked_classes", F.lit(0)).alias("n_linked_classes"),
             "class_id",
         )
     )
+
+
+def group_members(documents: DataFrame) -> DataFrame:
+    """(group_id, n_classes, class_id): which classes of copies share a span, a row per class and group."""
+    sets = span_groups(*shared_windows(documents))
+    classes = _members(documents).groupBy("h1", "h2").agg(F.min("doc_id").alias("class_id"))
+    return sets.join(classes, ["h1", "h2"]).select("group_id", F.col("n").alias("n_classes"), "class_id")
