@@ -1,9 +1,12 @@
 """Problem 5: references to records that do not exist.
 
-Foreign keys are reduced to their distinct non-null values before they meet the
-parents, so a key that a third of all rows share crosses the join once. Keys
-without a parent come from a left anti-join, deleted and late ones from an inner
-join; both lists are joined back to the referring records.
+Foreign keys are reduced to their distinct non-null values, with the earliest
+time a record names them, before they meet the parents. A left anti-join finds
+keys without a parent, an inner join those of deleted parents and those whose
+parent came in after some record; only these bad keys are joined back to the
+referring records. A key of ``HOT_ROWS`` records or more is never shuffled with
+its records: there can be no more such keys than records / ``HOT_ROWS``, so they
+are broadcast.
 
 Defined results: a null key is no reference and gives no row; an empty string is
 a key like any other; a record stored several times counts once, from its
@@ -22,6 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: A key that so many records name is joined back by broadcast.
+HOT_ROWS = 1_000_000
+
+
 @dataclass(frozen=True)
 class Reference:
     """One referring field: ``child.key`` must name a row of ``parent.parent_key``."""
@@ -68,27 +75,29 @@ def referring_records(child: DataFrame, ref: Reference) -> DataFrame:
     return per_key.withColumn("first_in", earliest).where(F.col("ref_key").isNotNull() & F.col("rec_id").isNotNull())
 
 
+def bad_keys(records: DataFrame, states: DataFrame) -> DataFrame:
+    """(ref_key, n, parent_first, state): keys with a missing or deleted parent, or one later than some record."""
+    keys = records.groupBy("ref_key").agg(F.count(F.lit(1)).alias("n"), F.min("first_in").alias("key_first"))
+    missing = keys.join(states, "ref_key", "left_anti").select("ref_key", "n", F.lit(None).cast(states.schema["parent_first"].dataType).alias("parent_first"), F.lit("missing").alias("state"))
+    state = F.when(F.col("parent_deleted"), "deleted").when(F.col("parent_first") > F.col("key_first"), "late")
+    present = keys.join(states, "ref_key").select("ref_key", "n", "parent_first", state.alias("state"))
+    return missing.unionByName(present.where("state is not null"))
+
+
 def orphans(child: DataFrame, parent: DataFrame, ref: Reference) -> DataFrame:
     """(field_name, rec_id, ref_key, reason, period) of every broken reference."""
     records = referring_records(child, ref)
-    states = parent_states(parent, ref.parent_key)
-    keys = child.where(F.col(ref.key).isNotNull()).select(F.col(ref.key).alias("ref_key")).distinct()
-    missing = keys.join(states, "ref_key", "left_anti").select("ref_key", F.lit("missing").alias("state"))
-    absent = records.join(missing, "ref_key").select("rec_id", "ref_key", "first_in", F.col("state").alias("reason"))
-    present = (
-        records.join(states, "ref_key")
-        .withColumn(
-            "reason",
-            F.when(F.col("parent_deleted"), "deleted").when(F.col("parent_first") > F.col("first_in"), "late"),
-        )
-        .where(F.col("reason").isNotNull())
-        .select("rec_id", "ref_key", "first_in", "reason")
-    )
-    return absent.unionByName(present).select(
+    bad = bad_keys(records, parent_states(parent, ref.parent_key))
+    hot = records.groupBy("ref_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HOT_ROWS).select("ref_key")
+    columns = ["ref_key", "parent_first", "state"]
+    many = records.join(F.broadcast(bad.where(F.col("n") >= HOT_ROWS).select(*columns)), "ref_key")  # at most records / HOT_ROWS keys
+    few = records.join(F.broadcast(hot), "ref_key", "left_anti").join(bad.where(F.col("n") < HOT_ROWS).select(*columns), "ref_key")
+    broken = many.unionByName(few).where((F.col("state") != "late") | (F.col("parent_first") > F.col("first_in")))
+    return broken.select(
         F.lit(ref.field_name).alias("field_name"),
         "rec_id",
         "ref_key",
-        "reason",
+        F.col("state").alias("reason"),
         F.date_format("first_in", "yyyy-MM").alias("period"),
     )
 

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from clauseworks.operators import references as rf
 
 T = lambda d: dt.datetime(2024, 1, d)
@@ -36,7 +38,26 @@ def test_empty_tables_and_report(spark):
     assert rows == [{"field_name": "provisions.document_id", "period": "2024-01", "n_references": 1, "n_missing": 1, "n_deleted": 0, "n_late": 0}]
 
 
-def test_hot_key(spark):
-    provs = [(f"p{i}", "hot" if i % 3 else f"d{i}", T(1), None, "x") for i in range(900)]
-    got = found(tables(spark, [("d3", T(1), None, "x")], provs, []))
-    assert len(got) == 899
+@pytest.mark.parametrize("hot", [2, 100, rf.HOT_ROWS])
+def test_hot_keys(spark, monkeypatch, hot):
+    monkeypatch.setattr(rf, "HOT_ROWS", hot)
+    docs = [("d3", T(1), None, "x"), ("gone", T(1), T(2), "x"), ("after", T(9), None, "x"), ("fine", T(1), None, "x")]
+    provs = [(f"p{i}", ("hot", "gone", "after", "fine")[i % 4] if i % 5 else f"d{i}", T(1 + i % 20), None, "x") for i in range(900)]
+    got = found(tables(spark, docs, provs, []))
+    parents = {d[0]: d for d in docs}
+    wanted = set()
+    for p, key, first, _, _ in provs:
+        d = parents.get(key)
+        reason = "missing" if d is None else "deleted" if d[2] else "late" if d[1] > first else None
+        if reason:
+            wanted.add(("provisions.document_id", p, reason, "2024-01"))
+    assert got == wanted and {r[2] for r in got} == {"missing", "deleted", "late"}
+
+
+def test_records_of_hot_keys_are_not_shuffled_by_key(spark):
+    t = tables(spark, [("d", T(1), None, "x")], [(f"p{i}", "hot", T(1), None, "x") for i in range(50)], [])
+    records = rf.referring_records(t["provisions"], rf.REFERENCES[1])
+    bad = rf.bad_keys(records, rf.parent_states(t["documents"], "document_id"))
+    assert [tuple(r)[:2] + (r["state"],) for r in bad.collect()] == [("hot", 50, "missing")]
+    plan = rf.orphans(t["provisions"], t["documents"], rf.REFERENCES[1])._jdf.queryExecution().sparkPlan().toString()
+    assert "LeftAnti, BuildRight" in plan and plan.count("BroadcastHashJoin") >= 2
