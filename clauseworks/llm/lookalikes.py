@@ -193,7 +193,7 @@ def canonical_words(words: DataFrame) -> DataFrame:
     twin = F.translate("f.plain", "".join(LATIN_CYRILLIC), "".join(LATIN_CYRILLIC.values()))
     plain_twin = (F.col("script") == "cyr") & F.col("word").rlike(f"^[{_BOTH}]+$")
     spellings = mapped.select("script", "word", "n", F.when(plain_twin, twin).otherwise(F.col("f.plain")).alias("plain"), F.when(plain_twin, F.expr("CAST(array() AS ARRAY<STRING>)")).otherwise(F.col("f.kinds")).alias("kinds"))
-    return words.sparkSession.sql(CLASSES_SQL, spellings=spellings)
+    return words.sparkSession.sql(CLASSES_SQL, spellings=checkpointed(spellings))  # read three times
 
 
 def variants(values: DataFrame) -> DataFrame:
