@@ -18,7 +18,7 @@ import pyarrow as pa
 
 from clauseworks.llm.boost import Boosted
 
-WORD, PAIR, RUN = "word", "pair", "run"
+WORD, PAIR, RUN, CUT = "word", "pair", "run", "cut"
 JOINT = "\x02"
 TOKEN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿЀ-ӿ0-9\x02]+")
 _ALNUM = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿЀ-ӿ0-9]+")
@@ -69,8 +69,9 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def suspects(text: str, words: frozenset[str], pairs: frozenset[str]) -> list[tuple[str, str]]:
-    """(kind, unit) of a text's units that the given grams don't know; a cut word holds JOINT.
+    """(kind, unit) of a text's units that the given grams don't know; a cut word keeps its JOINT.
 
+    What the given grams lack may still be in the lexicon, which has the last word (``unknown_units``).
     Three or more unknown ideographs in a row may be a word the corpus lacks; they are left to ``long_runs``.
     """
     out = []
@@ -79,7 +80,7 @@ def suspects(text: str, words: frozenset[str], pairs: frozenset[str]) -> list[tu
             parts = [shape(p) for p in m.split(JOINT) if p]
             if "".join(parts) in words or all(p in words for p in parts):
                 continue
-            out.append((WORD, "".join(parts)))
+            out.append((CUT, JOINT.join(parts)))
         else:
             s = shape(m)
             if s not in words and s.strip("0") and len(s) > 1:
@@ -164,16 +165,18 @@ def looks_distance(a: str, b: str) -> tuple[float, float]:
     return cost[n][m]
 
 
-FEATURES = 9
+FEATURES = 12
 #: Lengths of a unit and its candidates differ by no more.
 REACH = 2
 
 
-def features(kind: str, unit: str, cand: str, shared: int, grams: int, n_cand: float, n_unit: float, n_left: float, n_right: float) -> list[float]:
+def features(kind: str, unit: str, cand: str, shared: int, grams: int, n_cand: float, n_unit: float, n_left: float, n_right: float, places: int = 0, most: int = 0, rivals: int = 0) -> list[float]:
+    """What the ranker sees of a candidate: for ideographs also in how many places the exchange would
+    mend, next to the unit's best candidate in that respect, and how many candidates the unit has."""
     if kind == PAIR:
-        return [1, shared, 1.0, 0, 0, math.log1p(n_left), math.log1p(n_right), math.log1p(min(n_left, n_right)), math.log1p(n_unit)]
+        return [1, shared, 1.0, 0, 0, math.log1p(n_left), math.log1p(n_right), math.log1p(min(n_left, n_right)), math.log1p(n_unit), math.log1p(places), places / max(1, most), math.log1p(rivals)]
     edits, odd = looks_distance(unit, cand)
-    return [0, shared / max(1, grams), abs(len(unit) - len(cand)), edits, odd, math.log1p(n_cand), len(unit), odd / max(1, len(unit)), math.log1p(n_unit)]
+    return [0, shared / max(1, grams), abs(len(unit) - len(cand)), edits, odd, math.log1p(n_cand), len(unit), odd / max(1, len(unit)), math.log1p(n_unit), 0, 0, 0]
 
 
 def q_for(length: int) -> int:
@@ -240,19 +243,28 @@ def train_ranker(words: dict[str, int], pairs: dict[str, int], seed: int = 11, s
         if IDEOGRAPH.match(p[0]):
             right.setdefault(p[1], []).append(p[0])
             inventory.append(p[0])
-    firsts = sorted(left)
-    for _ in range(samples if firsts and right else 0):
-        before = rng.choice(firsts)
-        char = rng.choice(left[before])
-        after = [p[1] for p in (char + r for r in right) if p in pairs]
-        if not after:
-            continue
-        next_ = rng.choice(sorted(after))
-        unit = before + rng.choice(inventory) + next_
-        both = set(left[before]) & set(right.get(next_, ()))
-        for cand in sorted(both)[:12] + [char]:
-            x.append(features(PAIR, unit, cand, 2, 2, 0, rng.choice([1, 1, 2, 5]), pairs[before + cand], pairs[cand + next_]))
-            y.append(cand == char or len(both) == 1)
+    # an exchange of two ideographs, met between several neighbours, as one scanner makes it again and again
+    befores: dict[str, list[str]] = {}
+    afters: dict[str, list[str]] = {}
+    for p in sorted(pairs):
+        befores.setdefault(p[1], []).append(p[0])
+        afters.setdefault(p[0], []).append(p[1])
+    chars = sorted({c for of in left.values() for c in of} & afters.keys())
+    damaged: dict[str, str] = {}
+    for _ in range(samples // 2 if chars else 0):
+        char, wrong = rng.choice(chars), rng.choice(inventory)
+        for _ in range(rng.choice([1, 1, 2, 4, 8, 16])):
+            b, a = rng.choice(befores[char]), rng.choice(afters[char])
+            if wrong != char and b + wrong not in pairs and wrong + a not in pairs:
+                damaged[b + wrong + a] = char
+    offered = {u: sorted((set(left.get(u[0], ())) & set(right.get(u[2], ())) | {char}) - {u[1]}) for u, char in damaged.items()}
+    places = Counter((u[1], c) for u, of in offered.items() for c in of)
+    for unit, char in damaged.items():
+        of = offered[unit]
+        most = max(places[unit[1], c] for c in of)
+        for cand in sorted({*rng.sample(of, min(12, len(of))), char}):
+            x.append(features(PAIR, unit, cand, 2, 2, 0, rng.choice([1, 1, 2, 5]), pairs[unit[0] + cand], pairs[cand + unit[2]], places[unit[1], cand], most, len(of)))
+            y.append(cand == char or len(of) == 1)
     if not x:
         x, y = [[0.0] * FEATURES, [1.0] * FEATURES], [0, 1]
     return Boosted(trees=60).fit(np.array(x, float), np.array(y))

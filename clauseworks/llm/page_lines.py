@@ -65,7 +65,7 @@ def names_of(title: str | None, number: str | None, document_id: str | None) ->
 
 
 FEATURES = 23
-#: Longer lines are text whatever else they hold.
+#: Lines longer than this and four times the names of their document are text whatever else they hold.
 LONGEST = 400
 
 
@@ -78,9 +78,10 @@ def line_features(lines: list[str], names: Names) -> np.ndarray:
         return out
     lengths = sorted(len(bare[i]) for i in filled)
     usual = max(1, lengths[len(lengths) * 3 // 4])
+    longest = LONGEST + 4 * (len(names.title) + len(names.number))
     for k, i in enumerate(filled):
         s = bare[i]
-        if len(s) > LONGEST:  # no furniture is as long as this
+        if len(s) > longest:
             out[i, 0], out[i, 12], out[i, 21] = len(s) / usual, len(s), 99
             continue
         before = bare[filled[k - 1]][-LONGEST:] if k else ""

@@ -4,24 +4,26 @@
    neighbour pairs of ideographs).
 2. Records laid out in lines are read page-wise: line classifiers find page
    numbers and running headers, a line-pair classifier finds words cut at line
-   ends, also across furniture. What the lexicon's most frequent grams don't know
-   becomes a suspect; an anti-join with the whole lexicon has the last word.
+   ends, also across furniture. Records of a single line are read as running text.
+   What the lexicon's most frequent grams don't know becomes a suspect; joins with
+   the whole lexicon have the last word, also on whether a cut word keeps its hyphen.
 3. Correction candidates of the distinct suspects come from character q-gram
    inverted joins (ideographs: from the pairs with a hole that their neighbours
-   make); a gradient-boosted ranker scores them, the best above one half wins.
+   make); a gradient-boosted ranker scores them, the best above one half wins. How
+   many places the same exchange would mend is one of its features.
    In three or more unknown ideographs in a row it takes another correction close
    by, or the same exchange elsewhere, to tell misreadings from an unknown word.
 4. Accepted corrections are joined back to the records; the repaired text is
    written without furniture, with cut words rejoined and paragraphs run on.
 
-All records with line breaks are read; lines with markup, or inside a marked block,
-are not judged and stay as they are. The models are fitted on at most
-``TRAIN_DOCUMENTS`` documents and ``SNAPSHOT`` grams, everything else covers all rows.
+All records are read; lines with markup, or inside a marked block, are not judged
+and stay as they are. The models are fitted on at most ``TRAIN_DOCUMENTS``
+documents and ``SNAPSHOT`` grams, everything else covers all rows, and no result but
+the fit depends on these two.
 
-Defined results: null and empty values give no row; a record without line breaks
-is no page and stays as it is; a record whose document is unknown is judged
-without a title; an empty corpus accepts no correction; repeated rows give one
-row in the found query.
+Defined results: null and empty values give no row; a record whose document is
+unknown is judged without a title; an empty corpus accepts no correction; repeated
+rows give one row in the found query.
 """
 
 from __future__ import annotations
@@ -47,6 +49,8 @@ TRAIN_DOCUMENTS = 1500
 SNAPSHOT = 40_000
 #: A gram counts as known from so many times on.
 LEAST = 3
+#: With so many unknown words, and these half of all, a record is code or another language and nothing misread.
+FOREIGN = 8
 _RE_SUSPECT = re.compile(lookalikes.SUSPECT)
 _RE_CYRILLIC, _RE_LATIN = re.compile("[Ѐ-ӿ]"), re.compile("[A-Za-z]")
 
@@ -87,12 +91,24 @@ def document_names(documents: DataFrame) -> DataFrame:
     )
 
 
-def laid_out(tables: dict[str, DataFrame]) -> DataFrame:
-    """(field_name, rec_id, value, title, number, head) of the values with line breaks.
+def _with_names(provisions: DataFrame, names: DataFrame) -> DataFrame:
+    """``provisions`` with the ``name_id`` of their document.
 
-    A document's own columns are at hand; a provision's document is looked up by the
-    document part of its id, which a damaged document_id doesn't change.
+    Where the provision's id doesn't go on from its document_id (a damaged or missing
+    reference), the longest leading part of the id that names a document counts.
     """
+    sound = F.coalesce(F.startswith(F.col("rec_id"), F.concat(F.col("document_id"), F.lit("-"))), F.lit(False))
+    parts = F.split("rec_id", "-")
+    heads = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "-"))
+    odd = provisions.where(~sound)
+    asked = odd.select("rec_id").distinct().select("rec_id", F.explode(heads).alias("name_id"))
+    by_id = asked.join(names.select("name_id"), "name_id").groupBy("rec_id").agg(F.max_by("name_id", F.length("name_id")).alias("head"))
+    mended = odd.join(by_id, "rec_id", "left").withColumn("name_id", F.coalesce("head", "document_id")).drop("head")
+    return provisions.where(sound).withColumn("name_id", F.col("document_id")).unionByName(mended)
+
+
+def laid_out(tables: dict[str, DataFrame]) -> DataFrame:
+    """(field_name, rec_id, value, title, number, head) of the values with line breaks; a document's own columns are at hand."""
     lines = F.col("value").contains("\n") & F.col("rec_id").isNotNull()
     docs = tables["documents"]
     head = F.substring_index("text", "\n", 1)
@@ -101,14 +117,22 @@ def laid_out(tables: dict[str, DataFrame]) -> DataFrame:
         "title", F.col("standard_id").alias("number"), F.when(F.length(head) < 300, head).alias("head"),
     ).where(lines)
     prov = tables["provisions"].select(F.lit("provisions.text").alias("field_name"), F.col("provision_id").alias("rec_id"), F.col("text").alias("value"), "document_id").where(lines)
-    starts = F.startswith(F.col("rec_id"), F.concat(F.col("document_id"), F.lit("-")))
-    parsed = F.nullif(F.regexp_extract("rec_id", r"^((?:[a-z]+-)+\d{5,}-\d{4})(?:-|$)", 1), F.lit(""))
-    prov = prov.withColumn("name_id", F.when(starts, F.col("document_id")).otherwise(F.coalesce(parsed, F.col("document_id"))))
-    prov = prov.join(document_names(docs), "name_id", "left").select("field_name", "rec_id", "value", "title", "number", "head")
+    names = document_names(docs)
+    prov = _with_names(prov, names).join(names, "name_id", "left").select("field_name", "rec_id", "value", "title", "number", "head")
     # the join leaves a document's provisions together; reading pages is the work, so it is spread by record
-    spark = docs.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
-    return own.unionByName(prov).repartition(n, "field_name", "rec_id")
+    return own.unionByName(prov).repartition(_spread(docs), "field_name", "rec_id")
+
+
+def _spread(df: DataFrame) -> int:
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+
+
+def single_lines(tables: dict[str, DataFrame]) -> DataFrame:
+    """(field_name, rec_id, value) of the values of one line."""
+    part = lambda name, rec, column: tables[name].select(F.lit(f"{name}.{column}").alias("field_name"), F.col(rec).alias("rec_id"), F.col(column).alias("value"))
+    both = part("documents", "document_id", "source_text").unionByName(part("provisions", "provision_id", "text"))
+    return both.where((F.col("value") != "") & ~F.col("value").contains("\n") & F.col("rec_id").isNotNull())
 
 
 def plain(text: str) -> str:
@@ -149,9 +173,9 @@ def _names(title, number, head, rec_id):
     return page_lines.names_of(title, number, rec_id)
 
 
-_READ = "field_name string, rec_id string, hyphen boolean, header boolean, page boolean, suspects array<struct<kind:string,unit:string>>"
+_READ = "field_name string, rec_id string, hyphen boolean, header boolean, page boolean, suspects array<struct<kind:string,unit:string>>, cuts array<string>, size int"
 _UNITS = pa.list_(pa.struct([("kind", pa.string()), ("unit", pa.string())]))
-_READ_ARROW = pa.schema([("field_name", pa.string()), ("rec_id", pa.string()), ("hyphen", pa.bool_()), ("header", pa.bool_()), ("page", pa.bool_()), ("suspects", _UNITS)])
+_READ_ARROW = pa.schema([("field_name", pa.string()), ("rec_id", pa.string()), ("hyphen", pa.bool_()), ("header", pa.bool_()), ("page", pa.bool_()), ("suspects", _UNITS), ("cuts", pa.list_(pa.string())), ("size", pa.int32())])
 _AT_ONCE = 300
 
 
@@ -178,12 +202,55 @@ def read(values: DataFrame, models: page_lines.Models, words: dict[str, int], pa
                 heads = " \n".join(s for s, h in zip(page.lines, page.header) if h)
                 units = {u for part in (*body, heads) for of in (misreadings.suspects(part, known_words, known_pairs), misreadings.long_runs(part, known_pairs)) for u in of}
                 if page.joints or any(page.page) or any(page.header) or units:
-                    out.append({"field_name": field, "rec_id": rec, "hyphen": bool(page.joints), "header": any(page.header), "page": any(page.page), "suspects": [{"kind": k, "unit": u} for k, u in sorted(units)]})
+                    out.append({"field_name": field, "rec_id": rec, "hyphen": bool(page.joints), "header": any(page.header), "page": any(page.page), "suspects": [{"kind": k, "unit": u} for k, u in sorted(units)], "cuts": sorted({cut_word(page, *joint) for joint in page.joints}), "size": sum(map(units_in, body))})
+            yield pa.RecordBatch.from_pylist(out, schema=_READ_ARROW)
+
+    return values.mapInArrow(go, _READ)
+
+
+def read_lines(values: DataFrame, words: dict[str, int], pairs: dict[str, int]) -> DataFrame:
+    """The same of values of one line: no furniture, no cut words."""
+    known_words, known_pairs = frozenset(words), frozenset(pairs)
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for field, rec, value in arrow_rows(batch, "field_name", "rec_id", "value"):
+                text = plain(value)
+                units = {*misreadings.suspects(text, known_words, known_pairs), *misreadings.long_runs(text, known_pairs)}
+                if units and not markup.marks(value):
+                    out.append({"field_name": field, "rec_id": rec, "hyphen": False, "header": False, "page": False, "suspects": [{"kind": k, "unit": u} for k, u in sorted(units)], "cuts": [], "size": units_in(text)})
             yield pa.RecordBatch.from_pylist(out, schema=_READ_ARROW)
 
     return values.mapInArrow(go, _READ)
 
 
+def units_in(text: str) -> int:
+    """Words and ideographs of a text."""
+    return len(misreadings.TOKEN.findall(text)) + len(misreadings.IDEOGRAPH.findall(text))
+
+
+def cut_word(page: page_lines.Page, a: int, b: int) -> str:
+    """Shapes of the letters before and after the cut between two lines, with JOINT between them."""
+    left, right = page.lines[a].rstrip()[:-1], page.lines[b].lstrip()
+    i, j = len(left), 0
+    while i and left[i - 1].isalpha():
+        i -= 1
+    while j < len(right) and right[j].isalpha():
+        j += 1
+    return misreadings.shape(left[i:]) + misreadings.JOINT + misreadings.shape(right[:j])
+
+
+def cut_words(units: DataFrame, words: DataFrame) -> DataFrame:
+    """(unit, whole, apart): does the lexicon hold a cut word in one, and each of its parts?"""
+    asked = units.select("unit").distinct()
+    whole = asked.select("unit", F.translate("unit", misreadings.JOINT, "").alias("w")).join(words, "w", "left_semi").select("unit", F.lit(True).alias("whole"))
+    parts = asked.select("unit", F.explode(F.array_distinct(F.split("unit", misreadings.JOINT))).alias("w"))
+    strange = parts.join(words, "w", "left_anti").select("unit").distinct().withColumn("strange", F.lit(True))
+    joined = asked.join(whole, "unit", "left").join(strange, "unit", "left")
+    return joined.select("unit", F.coalesce("whole", F.lit(False)).alias("whole"), F.col("strange").isNull().alias("apart"))
+
+
 def candidates(units: DataFrame, lex: DataFrame) -> DataFrame:
     """(kind, unit, n_unit, cand, shared, grams, n_cand, n_left, n_right) by q-gram inverted joins.
 
@@ -229,10 +296,15 @@ def candidates(units: DataFrame, lex: DataFrame) -> DataFrame:
 
 
 def corrections(units: DataFrame, lex: DataFrame, ranker: Boosted) -> DataFrame:
-    """(kind, unit, cand, score): the best candidate of every unit that the ranker accepts."""
+    """(kind, unit, cand, score): the best candidate of every unit that the ranker accepts.
+
+    An ideograph is mistaken for the same other one in many places: in how many units
+    the exchange is a candidate, how that compares with the unit's other candidates,
+    and how many these are, are features.
+    """
     import numpy as np
 
-    names = ("kind", "unit", "cand", "shared", "grams", "n_cand", "n_unit", "n_left", "n_right")
+    names = ("kind", "unit", "cand", "shared", "grams", "n_cand", "n_unit", "n_left", "n_right", "places", "most", "rivals")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,13 +313,14 @@ def corrections(units: DataFrame, lex: DataFrame, ranker: Boosted) -> DataFrame:
             cols = [batch.column(batch.schema.get_field_index(n)) for n in ("kind", "unit", "cand")]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(s, pa.float64())], names=["kind", "unit", "cand", "score"])
 
-    scored = candidates(units, lex).select(*names).mapInArrow(score, "kind string, unit string, cand string, score double").where("score > 0.5")
-    # an ideograph is mistaken for the same other one in many places: the exchange seen beside most neighbours leads
-    wrong = F.when(F.col("kind") == misreadings.PAIR, F.substring("unit", 2, 1)).otherwise(F.col("unit"))
-    scored = checkpointed(scored.withColumn("wrong", wrong))
-    places = scored.groupBy("kind", "wrong", "cand").agg(F.count(F.lit(1)).alias("places"))
-    scored = scored.join(places, ["kind", "wrong", "cand"])
-    best = F.row_number().over(Window.partitionBy("kind", "unit").orderBy(F.desc("places"), F.desc("score"), "cand"))
+    every = checkpointed(candidates(units, lex))
+    pair, wrong = F.col("kind") == misreadings.PAIR, F.substring("unit", 2, 1)
+    places = every.where(pair).groupBy("kind", wrong.alias("wrong"), "cand").agg(F.count(F.lit(1)).alias("places"))
+    every = every.withColumn("wrong", F.when(pair, wrong)).join(places, ["kind", "wrong", "cand"], "left").withColumn("places", F.coalesce("places", F.lit(0)))
+    of_unit = Window.partitionBy("kind", "unit")
+    every = every.withColumns({"most": F.max("places").over(of_unit), "rivals": F.count(F.lit(1)).over(of_unit)})
+    scored = every.select(*names).repartition(_spread(units), "unit").mapInArrow(score, "kind string, unit string, cand string, score double").where("score > 0.5")
+    best = F.row_number().over(Window.partitionBy("kind", "unit").orderBy(F.desc("score"), "cand"))
     return scored.withColumn("r", best).where("r = 1").select("kind", "unit", "cand", "score")
 
 
@@ -265,13 +338,15 @@ def run_fixes(places: DataFrame, unknown: DataFrame, fixes: DataFrame, alone: Da
     character between them) or the same exchange is accepted outside of long runs.
     """
     wrong = F.substring("unit", 2, 1)
-    seen = alone.join(sized(fixes), ["kind", "unit"]).where(F.col("kind") == misreadings.PAIR).select(wrong.alias("wrong"), "cand").distinct().withColumn("seen", F.lit(True))
     left = places.join(unknown.select("kind", "unit"), ["kind", "unit"], "left_semi").join(fixes.select("kind", "unit", "cand"), ["kind", "unit"], "left")
     left = left.withColumn("part", F.col("at") - F.row_number().over(Window.partitionBy("run").orderBy("at")))
     part = Window.partitionBy("run", "part")
     near = part.orderBy("at").rangeBetween(-2, 2)
-    left = left.withColumns({"long": F.count(F.lit(1)).over(part), "near": F.count("cand").over(near), "wrong": wrong}).where("cand is not null")
-    backed = (F.col("long") < misreadings.LONG) | (F.col("near") > 1) | F.col("seen").isNotNull()
+    left = checkpointed(left.withColumns({"long": F.count(F.lit(1)).over(part), "near": F.count("cand").over(near), "wrong": wrong}).where("cand is not null"))
+    short = F.col("long") < misreadings.LONG
+    seen = alone.join(sized(fixes), ["kind", "unit"]).where(F.col("kind") == misreadings.PAIR).select(wrong.alias("wrong"), "cand")
+    seen = seen.union(left.where(short).select("wrong", "cand")).distinct().withColumn("seen", F.lit(True))
+    backed = short | (F.col("near") > 1) | F.col("seen").isNotNull()
     return left.join(seen, ["wrong", "cand"], "left").where(backed).select("run", "kind", "unit", "cand").distinct()
 
 
@@ -286,27 +361,42 @@ class Reading:
         self.values = laid_out(tables)
         if self.models is None:
             self.models = page_lines.train([("a b c d e f g h", "t", "1", "d-1")] * 4)
-        self.records = checkpointed(read(self.values, self.models, self.words, self.pairs))
-        units = self.records.select("field_name", "rec_id", F.inline("suspects"))
-        alone, runs = units.where(F.col("kind") != misreadings.RUN), units.where(F.col("kind") == misreadings.RUN).withColumnRenamed("unit", "run")
+        lines = read_lines(single_lines(tables), self.words, self.pairs)
+        self.records = checkpointed(read(self.values, self.models, self.words, self.pairs).unionByName(lines))
+        self.known = self.lex.where(F.col("kind") == misreadings.WORD).select(F.col("gram").alias("w"))
+        units = self.records.select("field_name", "rec_id", "size", F.inline("suspects"))
+        cut = F.col("kind") == misreadings.CUT
+        joined = cut_words(units.where(cut), self.known).where("not whole and not apart").select("unit")
+        words = units.where(cut).join(joined, "unit", "left_semi").select("field_name", "rec_id", "size", F.lit(misreadings.WORD).alias("kind"), F.translate("unit", misreadings.JOINT, "").alias("unit"))
+        alone, runs = units.where(~cut & (F.col("kind") != misreadings.RUN)).unionByName(words), units.where(F.col("kind") == misreadings.RUN).withColumnRenamed("unit", "run")
         places = run_places(runs)
         counted = alone.groupBy("kind", "unit").agg(F.count(F.lit(1)).alias("n")).unionByName(places.select("kind", "unit", "n"))
-        # a pair unit is unknown by both of its pairs; words are looked up as they are
-        words = self.lex.where(F.col("kind") == misreadings.WORD).select("kind", F.col("gram").alias("unit"))
-        distinct = counted.groupBy("kind", "unit").agg(F.sum("n").alias("n_unit")).join(words, ["kind", "unit"], "left_anti")
-        pairs = self.lex.where(F.col("kind") == misreadings.PAIR).select("gram")
-        l, r = F.substring("unit", 1, 2), F.substring("unit", 2, 2)
-        if self.lex.where(F.col("kind") == misreadings.PAIR).count() > SNAPSHOT:
-            distinct = distinct.join(pairs.select(F.col("gram").alias("g1")), (F.col("kind") == misreadings.PAIR) & (l == F.col("g1")), "left_anti")
-            distinct = distinct.join(pairs.select(F.col("gram").alias("g2")), (F.col("kind") == misreadings.PAIR) & (r == F.col("g2")), "left_anti")
-        ranker = misreadings.train_ranker(self.words, self.pairs)
-        distinct = checkpointed(distinct)
-        self.fixes = checkpointed(corrections(distinct, self.lex, ranker))
+        distinct = checkpointed(unknown_units(counted.groupBy("kind", "unit").agg(F.sum("n").alias("n_unit")), self.lex))
+        alone = checkpointed(judged(alone, distinct))
+        self.fixes = checkpointed(corrections(distinct, self.lex, misreadings.train_ranker(self.words, self.pairs)))
         in_runs = checkpointed(run_fixes(places, distinct, self.fixes, alone))
         columns = ("field_name", "rec_id", "kind", "unit", "cand")
         self.misread = alone.join(sized(self.fixes), ["kind", "unit"]).select(*columns).unionByName(runs.drop("kind").join(sized(in_runs), "run").select(*columns))
 
 
+def judged(alone: DataFrame, unknown: DataFrame) -> DataFrame:
+    """Units that the lexicon lacks, but for records that are no text of the corpus: FOREIGN or more words, half of all or more, unknown."""
+    left = checkpointed(alone.join(sized(unknown.select("kind", "unit")), ["kind", "unit"], "left_semi"))
+    n = F.count_if(F.col("kind") == misreadings.WORD)
+    foreign = left.groupBy("field_name", "rec_id").agg(n.alias("n"), F.max("size").alias("size")).where((F.col("n") >= FOREIGN) & (F.col("n") * 2 >= F.col("size")))
+    return left.join(foreign.select("field_name", "rec_id"), ["field_name", "rec_id"], "left_anti")
+
+
+def unknown_units(units: DataFrame, lex: DataFrame) -> DataFrame:
+    """``units`` without the words and pairs of the whole lexicon; an ideograph is unknown by both of its pairs."""
+    words = lex.where(F.col("kind") == misreadings.WORD).select("kind", F.col("gram").alias("unit"))
+    pairs = lex.where(F.col("kind") == misreadings.PAIR).select("gram")
+    ideographs = units.where(F.col("kind") == misreadings.PAIR)
+    for at in (1, 2):
+        ideographs = ideographs.join(pairs, F.substring("unit", at, 2) == F.col("gram"), "left_anti")
+    return units.where(F.col("kind") == misreadings.WORD).join(words, ["kind", "unit"], "left_anti").unionByName(ideographs)
+
+
 def found(tables: dict[str, DataFrame]) -> DataFrame:
     """(field_name, rec_id, noise) of every record with scan noise."""
     run = Reading(tables)
@@ -319,8 +409,8 @@ _LIST_ITEM = re.compile(r"^\s*(?:[a-zA-Z0-9]{1,3}[)）.]|[-+*•])\s*")
 _FINAL = re.compile(r"[.!?…。！？।；;:：][\"”’»)）」』]*\s*$")
 
 
-def paragraphs(page: page_lines.Page, words: frozenset[str], fixes: dict[tuple[str, str], str]) -> str:
-    """A page as paragraphs: furniture gone, cut words whole, accepted corrections made; marked lines as they are."""
+def paragraphs(page: page_lines.Page, hyphened: frozenset[str], fixes: dict[tuple[str, str], str]) -> str:
+    """A page as paragraphs: furniture gone, cut words whole but for the ``hyphened``, accepted corrections made; marked lines as they are."""
     cut = {a for a, _ in page.joints}
     usual = sorted(len(page.lines[i]) for i in page.body)[len(page.body) * 3 // 4] if page.body else 0
     wide = sum(len(misreadings.IDEOGRAPH.findall(page.lines[i])) for i in page.body) * 2 > sum(len(_RE_LATIN.findall(page.lines[i])) for i in page.body)
@@ -331,12 +421,12 @@ def paragraphs(page: page_lines.Page, words: frozenset[str], fixes: dict[tuple[s
         if marked:
             whole += "\n".join(page.lines[j] for j in range(lines[0], lines[-1] + 1) if not page.page[j] and not page.header[j])
         else:
-            whole += corrected(_paragraphs(page, lines, cut, usual, wide, words), fixes)
+            whole += corrected(_paragraphs(page, lines, cut, usual, wide, hyphened), fixes)
         last = lines[-1]
     return whole
 
 
-def _paragraphs(page: page_lines.Page, body: list[int], cut: set[int], usual: int, wide: bool, words: frozenset[str]) -> str:
+def _paragraphs(page: page_lines.Page, body: list[int], cut: set[int], usual: int, wide: bool, hyphened: frozenset[str]) -> str:
     out = ""
     for k, i in enumerate(body):
         line = page.lines[i]
@@ -344,10 +434,7 @@ def _paragraphs(page: page_lines.Page, body: list[int], cut: set[int], usual: in
             prev = body[k - 1]
             blank = any(not page.lines[j].strip() for j in range(prev + 1, i)) and not any(page.page[j] or page.header[j] for j in range(prev + 1, i))
             if prev in cut:
-                left, right = re.search(r"([^\W\d_]*)$", out[-80:])[1], re.match(r"([^\W\d_]*)", line.lstrip())[1]
-                whole = misreadings.shape(left + right) in words
-                apart = misreadings.shape(left) in words and misreadings.shape(right) in words
-                out += ("-" if apart and not whole else "") + line.lstrip()
+                out += ("-" if cut_word(page, prev, i) in hyphened else "") + line.lstrip()
                 line = ""
             elif _FINAL.search(out) and (blank or len(page.lines[prev]) < 0.75 * usual) or _LIST_ITEM.match(line) and _FINAL.search(out):
                 out += "\n" + line.lstrip()
@@ -381,18 +468,31 @@ def corrected(text: str, fixes: dict[tuple[str, str], str]) -> str:
 
 
 def repaired(tables: dict[str, DataFrame]) -> DataFrame:
-    """(field_name, rec_id, repaired): page-like records as continuous paragraphs."""
+    """(field_name, rec_id, repaired): page-like records as continuous paragraphs, one-line records with their corrections."""
     run = Reading(tables)
     fixes = run.misread.groupBy("field_name", "rec_id").agg(F.collect_set(F.struct("kind", "unit", "cand")).alias("fixes"))
+    cuts = run.records.select("field_name", "rec_id", F.explode("cuts").alias("unit"))
+    hyphened = cuts.join(sized(checkpointed(cut_words(cuts, run.known).where("apart and not whole").select("unit"))), "unit")
+    hyphened = hyphened.groupBy("field_name", "rec_id").agg(F.collect_set("unit").alias("hyphened"))
     noisy = run.records.select("field_name", "rec_id").distinct()
-    values = run.values.join(noisy, ["field_name", "rec_id"]).join(fixes, ["field_name", "rec_id"], "left")
-    models, words = run.models, frozenset(run.words)
+    values = run.values.join(noisy, ["field_name", "rec_id"]).join(fixes, ["field_name", "rec_id"], "left").join(hyphened, ["field_name", "rec_id"], "left")
+    lines = single_lines(tables).join(fixes, ["field_name", "rec_id"])
+    models = run.models
+    of = lambda fixes: {(x["kind"], x["unit"]): x["cand"] for x in fixes or ()}
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of = {(f, r, v): x for f, r, v, x in arrow_rows(batch, "field_name", "rec_id", "value", "fixes")}
-            rows = [(f, r, paragraphs(page, words, {(x["kind"], x["unit"]): x["cand"] for x in of[(f, r, v)] or ()})) for f, r, v, page in _pages(batch, models)]
-            cols = list(zip(*rows)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["field_name", "rec_id", "repaired"])
+            own = {(f, r, v): (of(x), frozenset(h or ())) for f, r, v, x, h in arrow_rows(batch, "field_name", "rec_id", "value", "fixes", "hyphened")}
+            rows = [(f, r, paragraphs(page, own[f, r, v][1], own[f, r, v][0])) for f, r, v, page in _pages(batch, models)]
+            yield _named(rows)
+
+    def mend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _named([(f, r, corrected(plain(v), of(x))) for f, r, v, x in arrow_rows(batch, "field_name", "rec_id", "value", "fixes")])
+
+    schema = "field_name string, rec_id string, repaired string"
+    return values.mapInArrow(go, schema).unionByName(lines.mapInArrow(mend, schema))
+
 
-    return values.mapInArrow(go, "field_name string, rec_id string, repaired string")
+def _named(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in list(zip(*rows)) or [(), (), ()]], names=["field_name", "rec_id", "repaired"])

@@ -69,14 +69,16 @@ def test_found_and_repaired(spark):
     docs += [(900, "iso-9-2001", None, None, None, scan), (901, "iso-10-2001", "T", "ISO10", "", quiet), (902, None, None, None, None, "a\nb"), (903, "iso-11-2001", "T", None, None, "x" * 70_000 + "\ny")]
     tables = {
         "documents": spark.createDataFrame(docs, DOCS),
-        "provisions": spark.createDataFrame([(f"{d[1]}-1-1", d[1], scan, "clash"), (f"{d[1]}-1-1", d[1], scan, "clash"), ("p", None, None, None), ("q", "nope", "", None), ("one", d[1], "no sea1ed line breaks", None)], PROV),
+        "provisions": spark.createDataFrame([(f"{d[1]}-1-1", d[1], scan, "clash"), (f"{d[1]}-1-1", d[1], scan, "clash"), ("p", None, None, None), ("q", "nope", "", None), ("one", d[1], "not sea1ed under pressure limits", None), ("code", None, "sea1ed l1mits hou5ing pres5ure 5even va1ues fat1gue brac1ket", None)], PROV),
     }
     got = {tuple(r) for r in scan_noise.found(tables).collect()}
     mine = {r[2] for r in got if r[1] == f"{d[1]}-1-1"}
     assert mine == {"hyphen", "page", "header", "misread"}
     assert {"hyphen", "page", "misread"} <= {r[2] for r in got if r[1] == "iso-9-2001"}
-    assert not any(r[1] in ("iso-10-2001", "one", "p", "q") for r in got)
-    text = {r["rec_id"]: r["repaired"] for r in scan_noise.repaired(tables).collect()}[f"{d[1]}-1-1"]
+    assert not any(r[1] in ("iso-10-2001", "p", "q", "code") for r in got) and ("provisions.text", "one", "misread") in got
+    text = {r["rec_id"]: r["repaired"] for r in scan_noise.repaired(tables).collect()}
+    assert text["one"] == "not sealed under pressure limits"
+    text = text[f"{d[1]}-1-1"]
     assert text.startswith("The hydraulic housing shall not exceed seven values when sealed under bending") and "12" not in text and "\n" not in text
 
 
@@ -99,6 +101,28 @@ def test_misreadings_with_one_sound_character_between(spark, monkeypatch):
     assert text["gb-1000001-2010-0"].startswith("滑动门锁上的车辆") and text["gb-1000001-2010-1"].startswith("车辆应当之间的间隙")
 
 
+@pytest.mark.parametrize("most", [10, scan_noise.SNAPSHOT])
+def test_results_do_not_hang_on_the_snapshot(spark, monkeypatch, most):
+    docs = documents(80)
+    d = docs[3]
+    full = scan_noise.misreadings.train_ranker
+    monkeypatch.setattr(scan_noise, "SNAPSHOT", most)
+    words = {w: 50 for w in WORDS}  # the fit may hang on it
+    monkeypatch.setattr(scan_noise.misreadings, "train_ranker", lambda *_: full(words, {}))
+    docs += [(100 + i, f"iso-{2000000 + i}-2011", None, None, "The self and the reset. " * 3, None) for i in range(4)]
+    scan = "The hydraulic housing shall not exc-\need seven values of self-\nreset when sea1ed under\nbending hous-\ning fat1gue."
+    tables = {"documents": spark.createDataFrame(docs, DOCS), "provisions": spark.createDataFrame([(f"{d[1]}-1-1", d[1], scan, None), (f"{d[1]}-1-2", "damaged", "within l1mits of pressure", None)], PROV)}
+    assert {tuple(r)[1:] for r in scan_noise.found(tables).collect()} == {(f"{d[1]}-1-1", "hyphen"), (f"{d[1]}-1-1", "misread"), (f"{d[1]}-1-2", "misread")}
+    text = {r["rec_id"]: r["repaired"] for r in scan_noise.repaired(tables).collect()}
+    assert text == {f"{d[1]}-1-1": "The hydraulic housing shall not exceed seven values of self-reset when sealed under bending housing fatigue.", f"{d[1]}-1-2": "within limits of pressure"}
+
+
+def test_documents_of_damaged_references(spark):
+    provs = spark.createDataFrame([("iso-1-2-3", "iso-1"), ("iso-1-2-4", "damaged"), ("iso-1-2-5", None), ("x-9", "y")], "rec_id string, document_id string")
+    names = spark.createDataFrame([("iso",), ("iso-1",), ("iso-1-2",)], "name_id string")
+    assert {r["rec_id"]: r["name_id"] for r in scan_noise._with_names(provs, names).collect()} == {"iso-1-2-3": "iso-1", "iso-1-2-4": "iso-1-2", "iso-1-2-5": "iso-1-2", "x-9": "y"}
+
+
 def test_marked_records_are_read(spark):
     assert markup.marks("where a < 12.63 and b\n> 17.9, with\nmore") == [] and markup.marks("Said.\n\n> 5.1 The clause") == markup.marks("a\n> so") == ["markdown"]
     text = "a\n**b** c\n\n```\nx\n\ny\n```\nz\n<p>q\nr</p>"
