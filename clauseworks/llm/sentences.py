@@ -4,7 +4,10 @@ Segmentation rules are ordered tables of break and no-break pairs, one table per
 language over a common one. A pair is two regular expressions, what stands
 before a position and what follows it; the first pair that matches decides the
 position. Positions worth deciding are those after a final mark with its closing
-quotes and brackets (for Thai, after white space).
+quotes and brackets (for Thai, after white space). The first pair of every table
+but the Thai one holds for positions within a quotation or bracket only: no break.
+Quotations and brackets are matched by one scan, whatever their length and depth;
+what is unclosed ends with its paragraph.
 
 The language of a record is read off its own letters: script first, then the
 most frequent function words for the Latin script. Rows are independent, so the
@@ -28,11 +31,12 @@ from clauseworks.llm.fields import arrow_rows
 
 
 class Rule(NamedTuple):
-    """Break or not where ``before`` ends and ``after`` begins."""
+    """Break or not where ``before`` ends and ``after`` begins; with ``within`` only inside a quotation or bracket."""
 
     breaks: bool
     before: str
     after: str
+    within: bool = False
 
 
 # Marks and abbreviations of the eight languages.
@@ -65,6 +69,8 @@ def _abbreviation(words: str) -> str:
     return r"(?<![^\W_])(?:" + "|".join(re.escape(w) for w in ordered) + r")\.$"
 
 
+#: The rule before all others, but in Thai.
+INSIDE = Rule(False, "", "", within=True)
 #: Rules that hold in every language, after those of the language itself.
 COMMON = (
     Rule(False, r"\.$", r"\s*[.,;:…]"),  # within a run of marks, before a comma
@@ -113,12 +119,13 @@ RULES: dict[str, tuple[Rule, ...]] = {
 
 _CANDIDATE = re.compile(r"[.!?…。！？｡।॥]+(?:\n?[" + CLOSERS + r"]|\s?»)*")
 _SPACE = re.compile(r"\s+")
-_COMPILED = {lang: tuple((r.breaks, re.compile(r.before), re.compile(r.after)) for r in (*own, *(() if lang in ("th",) else COMMON))) for lang, own in RULES.items()}
+_COMPILED = {lang: tuple((r.breaks, re.compile(r.before), re.compile(r.after), r.within) for r in (own if lang == "th" else (INSIDE, *own, *COMMON))) for lang, own in RULES.items()}
 _WORD = re.compile(r"[^\W\d_]+")
 _FUNCTION = {lang: frozenset(words.split()) for lang, words in FUNCTION_WORDS.items()}
 _THAI, _HINDI, _KANA, _HAN, _CYRILLIC = (re.compile(x) for x in ("[\u0e01-\u0e5b]", "[\u0904-\u0939]", "[\u3041-\u30ff\uff66-\uff9f]", "[\u4e00-\u9fff]", "[\u0400-\u04ff]"))
 _LATIN = re.compile("[A-Za-zÀ-ÿ]")
-_WINDOW, _LONGEST_SPAN = 24, 400
+#: So far before the mark itself the longest abbreviation, with an initial before it, can begin.
+_BEFORE = max(len(w) for words in ABBREVIATIONS.values() for w in words.split()) + 8
 
 
 def language_of(text: str) -> str:
@@ -136,57 +143,69 @@ def language_of(text: str) -> str:
 
 
 def _spans(text: str, lang: str) -> list[tuple[int, int]]:
-    """Quotations and brackets (open and close position) of any length; what is unclosed ends with its paragraph.
+    """Outermost quotations and brackets (open and close position) in order, of any length and depth.
 
-    A straight quote, and an apostrophe that may be a closing one, reach no further than _LONGEST_SPAN.
+    What is unclosed ends with its paragraph. A straight quote opens where none is
+    open, unless it follows a figure (an inch mark), and ends at the next; one that
+    looks like an opening one again takes the place of an open one. An apostrophe before a letter closes
+    nothing.
     """
-    quotes = ["„“", "‚‘"] if lang == "de" else ["“”", "‘’"]
-    opens, closes = {}, {}
-    for a, b in [*PAIRS, *quotes]:
-        opens[a], closes[b] = b, a
+    opens, closes = _QUOTES["de" if lang == "de" else ""]
     stack: list[tuple[str, int]] = []
+    depth = dict.fromkeys(opens, 0)
     out, straight = [], -1
     for m in _MARKS.finditer(text):
         ch, i = m[0], m.start()
         if "\n" in ch:
             stack.clear()
+            depth = dict.fromkeys(opens, 0)
         elif ch == '"':
-            if straight >= 0 and i - straight <= _LONGEST_SPAN:
+            before, after = text[i - 1 : i] if i else "", text[i + 1 : i + 2]
+            if straight >= 0 and not (not before.strip() and after.strip()):
                 out.append((straight, i))
                 straight = -1
-            else:
+            elif straight >= 0 or not before.isdigit():
                 straight = i
         elif ch in opens:
             stack.append((ch, i))
-        elif ch in closes:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == closes[ch]:
-                    if ch != "’" or i - stack[k][1] <= _LONGEST_SPAN:
-                        out.append((stack[k][1], i))
-                    del stack[k:]
+            depth[ch] += 1
+        elif ch in closes and depth[closes[ch]] and not (ch == "’" and text[i + 1 : i + 2].isalpha()):
+            while True:
+                top, at = stack.pop()
+                depth[top] -= 1
+                if top == closes[ch]:
+                    out.append((at, i))
                     break
-    return out
+    outer: list[tuple[int, int]] = []
+    for a, b in sorted(out):
+        if outer and a <= outer[-1][1]:
+            outer[-1] = outer[-1][0], max(b, outer[-1][1])
+        else:
+            outer.append((a, b))
+    return outer
+
+
+def _matching(quotes: tuple[str, ...]) -> tuple[dict[str, str], dict[str, str]]:
+    return {p[0]: p[1] for p in (*PAIRS, *quotes)}, {p[1]: p[0] for p in (*PAIRS, *quotes)}
 
 
+_QUOTES = {"de": _matching(("„“", "‚‘")), "": _matching(("“”", "‘’"))}
 _MARKS = re.compile("[" + re.escape("".join(PAIRS)) + "“”„‘’‚\"]|\\n[ \\t]*\\n")
 
 
 def boundaries(text: str, lang: str) -> list[int]:
-    """Positions inside ``text`` at which a sentence ends."""
+    """Positions inside ``text`` at which a sentence ends: the first pair that matches decides each."""
     rules = _COMPILED[lang]
-    if lang == "th":
-        places = [m.end() for m in _SPACE.finditer(text)]
-        spans = []
-    else:
-        places = [m.end() for m in _CANDIDATE.finditer(text)]
-        spans = _spans(text, lang) if places else []
-    out = []
-    for at in places:
-        if any(a < at <= b for a, b in spans):
-            continue
-        before = text[max(0, at - _WINDOW) : at]
-        for breaks, left, right in rules:
-            if left.search(before) and right.match(text, at):
+    places = [m.span() for m in (_SPACE if lang == "th" else _CANDIDATE).finditer(text)]
+    spans = _spans(text, lang) if places and lang != "th" else []
+    out, k = [], 0
+    for start, at in places:
+        while k < len(spans) and spans[k][1] < at:
+            k += 1
+        inside = k < len(spans) and spans[k][0] < at
+        before = text[max(0, start - _BEFORE) : at]
+        for breaks, left, right, within in rules:
+            if (inside or not within) and left.search(before) and right.match(text, at):
                 if breaks:
                     out.append(at)
                 break

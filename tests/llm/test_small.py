@@ -206,8 +206,17 @@ def test_found_sees_every_mark(spark):
 
 
 def test_long_and_nested_spans_hold_together():
-    inner = "The drum turns slowly here. " * 30
-    assert len(sentences.sentences(f"The plate ({inner}it says) must be read. The end.")) == 2
-    assert len(sentences.sentences(f"The plate “{inner}it says” must be read. The end.")) == 2
+    inner = "The drum turns slowly here. " * 600
+    for a, b in ("()", "“”", '""', "[]", "‘’"):
+        assert len(sentences.sentences(f"The plate {a}{inner}it says{b} must be read. The end.")) == 2, a
     assert len(sentences.sentences("It (see [a, “b «c {d Stop! Go on.) must be read. The end.")) == 2
     assert len(sentences.sentences("It (is open. So it is.\n\nAnother one) here. The end.")) == 4
+    assert len(sentences.sentences("It (a [b (c [d (e [f. G] h.) i.] j.) k.] l.) ends. The end.")) == 2
+    assert len(sentences.sentences("(" * 30_000 + "a. B" + "]" * 30_000 + ". The end.")) == 3
+    assert len(sentences.sentences('A bolt of 5" holds. It is "tight. So" it is. The end.')) == 3
+    assert len(sentences.sentences("It’s ‘the driver’s seat. It is’ fixed. The end.")) == 2
+    assert len(sentences.sentences("Really?" + "!" * 500 + " Yes.")) == 2
+
+
+def test_the_first_pair_of_a_table_decides():
+    assert all(rules[0][3] == (lang != "th") for lang, rules in sentences._COMPILED.items())
