@@ -1,13 +1,18 @@
 """Problem 8: mixing sources to target weights.
 
-Soft-membership mixing. A classifier fitted on the labelled part of the table
-(documents with a known source; counts over all of them, hashed into a fixed
-number of feature slots) predicts a posterior over sources for documents without
-one. Non-negative document rates are then fitted by projected-gradient least
-squares: expected source token totals (rate x tokens x membership) against the
-target totals, every rate between 0 and the cap on repeats. Documents of equal
-membership always get equal steps, so the gradient runs over groups of equal
-membership (rounded posteriors); each iteration is one small distributed sum.
+Soft-membership mixing. A classifier fitted on labelled documents (those with a
+known source, at most about ``FIT_ROWS`` of them, picked by a hash) predicts a
+posterior over sources for documents without one, from the words of the text and
+the title and from the metadata. A fifth of the sample is held out: on it the
+posterior's temperature and its weight against the sources' own shares are chosen
+by log-loss. Where the classifier tells nothing the weight is 0, and documents
+without a source get the shares as their posterior; ``classifier_report`` says so.
+
+Non-negative document rates are then fitted by projected-gradient least squares:
+expected source token totals (rate x tokens x membership) against the target
+totals, every rate between 0 and the cap on repeats. Documents of equal membership
+always get equal steps, so the gradient runs over groups of equal membership
+(rounded posteriors); each iteration is one small distributed sum.
 
 Rates become whole repeats by one threshold per group on a hash of the document:
 all documents get the whole part, those below the threshold one more, the
@@ -25,7 +30,11 @@ posterior; no targets gives no rows; repeated doc_ids are documents each.
 
 from __future__ import annotations
 
+import re
+import warnings
+import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +42,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from clauseworks.llm.fields import arrow_rows
+from clauseworks.llm.tokens import VOCABULARY, count_tokens
 from clauseworks.session import checkpointed
 
 #: Feature slots of the classifier: the model has SLOTS x sources numbers, whatever the data.
-SLOTS = 1 << 12
+SLOTS = 1 << 14
+#: Labelled documents the classifier is fitted and judged on.
+FIT_ROWS = 8_000
+#: So many documents of all sources are added to each when slot frequencies are counted.
+SMOOTH = 20
+#: Temperatures and weights of the classifier that are tried on the held-out part.
+TEMPERATURES, WEIGHTS = (1, 3, 10, 30, 100, 300), (0.0, 0.25, 0.5, 0.75, 0.9, 0.99)
 #: Posteriors are rounded to this many steps, which bounds the groups of equal membership per source count.
 STEPS = 8
 HASH_SLOTS = 1 << 12
@@ -44,38 +61,110 @@ HASH_SLOTS = 1 << 12
 FEATURES = ("document_type", "publisher", "lang", "review_status", "confidence")
 
 
-def _slots(df: DataFrame) -> Column:
-    """Hashed features of a document: its categorical values and the words of its title."""
-    values = [F.concat(F.lit(c + "="), F.coalesce(F.col(c).cast("string"), F.lit("?"))) for c in FEATURES if c in df.columns]
-    if "document_id" in df.columns:
-        values.append(F.concat(F.lit("series="), F.regexp_extract("document_id", r"^[a-z-]+", 0)))
-    words = F.array(*values)
-    if "title" in df.columns:
-        words = F.concat(words, F.transform(F.split(F.lower(F.coalesce("title", F.lit(""))), r"[\s\-–/]+"), lambda w: F.concat(F.lit("t="), w)))
-    return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(SLOTS)).cast("int"))
+_WORD = re.compile(r"[^\W\d_]+")
+_WIDE = re.compile("[\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff]")
 
 
-def fit_posteriors(documents: DataFrame, sources: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Naive Bayes log-priors and log-likelihoods of the feature slots, counted over all labelled documents."""
-    labelled = documents.where(F.col("source").isin(sources))
-    slots = labelled.select("source", F.explode(_slots(documents)).alias("slot")).groupBy("source", "slot").agg(F.count(F.lit(1)).alias("n"))
-    of = {s: i for i, s in enumerate(sources)}
-    like = np.full((SLOTS, len(sources)), 0.5)
-    for r in slots.toLocalIterator():  # at most SLOTS x sources rows
-        like[r["slot"], of[r["source"]]] += r["n"]
-    prior = np.full(len(sources), 1.0)
-    for r in labelled.groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect():
-        prior[of[r["source"]]] += r["n"]
-    return np.log(prior / prior.sum()), np.log(like / like.sum(axis=0))
+def _slots(values: dict[str, str | None]) -> list[int]:
+    """Hashed features of a document: metadata, words of the title, words of the text (of scripts without blanks, letter pairs)."""
+    out = {f"{c}={values[c]}" for c in FEATURES if c in values}
+    if series := re.match(r"[a-z-]+", values.get("document_id") or ""):
+        out.add("series=" + series[0])
+    for field in ("title", "text"):
+        for w in set(_WORD.findall((values.get(field) or "").lower())):
+            out.update((f"{field[1]}:{w[i : i + 2]}" for i in range(len(w) - 1)) if _WIDE.match(w) else (f"{field[1]}:{w}",))
+    return sorted({zlib.crc32(x.encode("utf-8", "surrogatepass")) % SLOTS for x in out})
+
+
+def described(documents: DataFrame, path: str = VOCABULARY) -> DataFrame:
+    """(doc_id, source, n_tokens, slots): one reading of the texts.
+
+    ``slots`` are the features of the documents without a source and of the labelled
+    sample, null for the others.
+    """
+    share = min(1.0, FIT_ROWS / max(1, documents.count()))
+    carried = [c for c in dict.fromkeys(("text", "title", "document_id", *FEATURES)) if c in documents.columns]
+    in_sample = F.xxhash64("doc_id") <= min(2**63 - 1, int(share * 2**64) - 2**63)
+    narrow = documents.select("doc_id", F.col("source").cast("string").alias("source"), (F.col("source").isNull() | in_sample).alias("asked"), *[F.col(c).cast("string").alias("of_" + c) for c in carried])
+    names = ["doc_id", "source", "n_tokens", "slots"]
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, slots = [], []
+            for asked, *row in arrow_rows(batch, "asked", *["of_" + c for c in carried]):
+                values = dict(zip(carried, row))
+                counts.append(count_tokens(values["text"], path) if values.get("text") else 0)
+                slots.append(_slots(values) if asked else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(counts, pa.int64()), pa.array(slots, pa.list_(pa.int32()))], names=names)
+
+    return narrow.mapInArrow(describe, "doc_id long, source string, n_tokens long, slots array<int>")
 
 
-def memberships(documents: DataFrame, sources: list[str], counted: DataFrame) -> DataFrame:
+class Classifier(NamedTuple):
+    """Naive Bayes over feature slots, cooled by a temperature and mixed with the sources' shares."""
+
+    prior: np.ndarray
+    like: np.ndarray
+    temperature: float = 1.0
+    weight: float = 1.0
+
+    def posterior(self, slots: list[int]) -> np.ndarray:
+        z = (np.log(np.maximum(self.prior, 1e-300)) + self.like[slots].sum(axis=0)) / self.temperature
+        p = np.exp(z - z.max())
+        return self.weight * p / p.sum() + (1 - self.weight) * self.prior
+
+
+def _fit(rows: list[tuple[int, list[int]]], k: int) -> Classifier:
+    """Slot frequencies per source, drawn towards those of all documents; a source without documents has no share."""
+    counts, prior = np.zeros((SLOTS, k)), np.zeros(k)
+    for source, slots in rows:
+        counts[slots, source] += 1
+        prior[source] += 1
+    if not rows:
+        return Classifier(np.full(k, 1 / k), np.zeros((SLOTS, k)), weight=0.0)
+    of_all = (counts.sum(axis=1, keepdims=True) + 0.5) / (len(rows) + 1)
+    return Classifier(prior / len(rows), np.log((counts + SMOOTH * of_all) / (prior + SMOOTH)))
+
+
+def fit_posteriors(counted: DataFrame, sources: list[str]) -> tuple[Classifier, dict]:
+    """The classifier, and how it does on the fifth that is held out against the sources' shares alone."""
+    of = {s: i for i, s in enumerate(sources)}
+    sample = counted.where(F.col("source").isin(sources) & F.col("slots").isNotNull()).select("doc_id", "source", "slots").collect()  # about FIT_ROWS
+    rows = [(of[r["source"]], r["slots"]) for r in sorted(sample, key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))]
+    held, fit = rows[::5], [r for i, r in enumerate(rows) if i % 5]
+    model = _fit(fit, len(sources))
+    if not held:
+        return model._replace(weight=0.0), {"n_fit": len(fit), "n_held_out": 0, "accuracy": None, "accuracy_of_shares": None, "log_loss": None, "log_loss_of_shares": None, "temperature": 1.0, "weight": 0.0}
+    true = np.array([y for y, _ in held])
+
+    def loss(m: Classifier) -> float:
+        p = np.array([m.posterior(slots) for _, slots in held])
+        return float(-np.log(np.maximum(p[np.arange(len(true)), true], 1e-12)).mean())
+
+    tried = [model._replace(temperature=float(t), weight=w) for t in TEMPERATURES for w in WEIGHTS if w or t == 1]
+    best = min(tried, key=loss)
+    shares = model._replace(weight=0.0)
+    report = {
+        "n_fit": len(fit), "n_held_out": len(held), "accuracy": float(np.mean([model.posterior(x).argmax() == y for y, x in held])),
+        "accuracy_of_shares": float((true == model.prior.argmax()).mean()), "log_loss": loss(best), "log_loss_of_shares": loss(shares), "temperature": best.temperature, "weight": best.weight,
+    }
+    return _fit(rows, len(sources))._replace(temperature=best.temperature, weight=best.weight), report
+
+
+def classifier_report(counted: DataFrame, targets: DataFrame) -> DataFrame:
+    """One row: what ``fit_posteriors`` measured. A weight of 0 means that the shares are used as posterior."""
+    schema = "n_fit int, n_held_out int, accuracy double, accuracy_of_shares double, log_loss double, log_loss_of_shares double, temperature double, weight double"
+    sources = [r["source"] for r in targets.where("source is not null and target_share > 0").orderBy("source").collect()]
+    rows = [tuple(fit_posteriors(counted, sources)[1].values())] if sources else []
+    return counted.sparkSession.createDataFrame(rows, schema)
+
+
+def memberships(counted: DataFrame, sources: list[str]) -> DataFrame:
     """(doc_id, source, n_tokens, h, q): q is the membership in ``STEPS``ths per target source.
 
     Known sources are certain (a known source without a target belongs to none).
-    ``counted`` holds the documents' columns and ``n_tokens``.
     """
-    prior, like = fit_posteriors(documents, sources)
+    model, _ = fit_posteriors(counted, sources)
     k = len(sources)
     of = {s: i for i, s in enumerate(sources)}
 
@@ -85,9 +174,7 @@ def memberships(documents: DataFrame, sources: list[str], counted: DataFrame) ->
             for source, slots in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()):
                 row = [0] * k
                 if source is None:
-                    z = prior + like[slots].sum(axis=0)
-                    p = np.exp(z - z.max())
-                    p = STEPS * p / p.sum()
+                    p = STEPS * model.posterior(slots or [])
                     low = np.floor(p).astype(int)
                     low[np.argsort(low - p, kind="stable")[: STEPS - int(low.sum())]] += 1
                     row = low.tolist()
@@ -96,8 +183,7 @@ def memberships(documents: DataFrame, sources: list[str], counted: DataFrame) ->
                 q.append(row)
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(q, pa.list_(pa.int32()))], names=["doc_id", "source", "n_tokens", "q"])
 
-    narrow = counted.select("doc_id", "source", "n_tokens", _slots(counted).alias("slots"))
-    out = narrow.mapInArrow(assign, "doc_id long, source string, n_tokens long, q array<int>")
+    out = counted.select("doc_id", "source", "n_tokens", "slots").mapInArrow(assign, "doc_id long, source string, n_tokens long, q array<int>")
     return out.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(HASH_SLOTS * HASH_SLOTS)))
 
 
@@ -122,11 +208,12 @@ def fit_rates(groups: DataFrame, goal: np.ndarray, iterations: int = 60) -> Data
     start = np.clip(goal / np.maximum(supply, 1.0), 0.0, None)
     state = groups.withColumn("rate", F.least(sum(s * F.lit(float(x)) for s, x in zip(share, start)), F.col("cap").cast("double")))
     state = checkpointed(state)
-    last = None
+    last, moved = None, 1.0
     for i in range(iterations):
         got = state.agg(*[F.sum(F.col("rate") * F.col("tokens") * s).alias(f"t{j}") for j, s in enumerate(share)]).first()
         miss = np.array([float(got[j] or 0.0) for j in range(k)]) / scale - goal / scale
-        if np.abs(miss).max() < 1e-6 or (last is not None and np.abs(miss - last).max() < 1e-9):
+        moved = np.abs(miss - (0 if last is None else last)).max()
+        if np.abs(miss).max() < 1e-6 or moved < 1e-9:
             break
         last = miss
         # preconditioned per source: the step of a group depends on its membership, not on its size
@@ -135,21 +222,23 @@ def fit_rates(groups: DataFrame, goal: np.ndarray, iterations: int = 60) -> Data
         state = state.withColumn("rate", F.greatest(F.lit(0.0), F.least(F.col("cap").cast("double"), F.col("rate") - slope)))
         if i % 8 == 7:
             state = checkpointed(state)
+    else:
+        warnings.warn(f"source totals still move by {moved:.1e} of their targets after {iterations} steps", stacklevel=2)
     return checkpointed(state.select("source", "q", "cap", "tokens", "rate"))
 
 
-def mix(documents: DataFrame, targets: DataFrame, counted: DataFrame, total_tokens: int | None = None) -> DataFrame:
+def mix(counted: DataFrame, targets: DataFrame, total_tokens: int | None = None) -> DataFrame:
     """(doc_id, source, n_tokens, q, rate, repeats) for every document.
 
-    ``counted`` is the documents with ``n_tokens``; ``targets`` a fixed handful of
-    rows (source, target_share, max_repeats).
+    ``counted`` is the ``described`` documents; ``targets`` a fixed handful of rows
+    (source, target_share, max_repeats).
     """
     rows = targets.where("source is not null and target_share > 0").orderBy("source").collect()
     if not rows:
         return counted.sparkSession.createDataFrame([], "doc_id long, source string, n_tokens long, q array<int>, rate double, repeats int")
     sources = [r["source"] for r in rows]
     k = len(rows)
-    docs = memberships(documents, sources, counted)
+    docs = memberships(counted, sources)
     docs = checkpointed(docs.withColumn("cap", F.when(F.col("n_tokens") > 0, _cap(rows, F.col("q"))).otherwise(0)))
     # a document without a source is a group apart from the source's own
     groups = docs.where("cap > 0").groupBy("source", "q", "cap").agg(F.sum("n_tokens").alias("tokens"))

@@ -95,19 +95,20 @@ def p7_fill(spark: SparkSession, sf: str) -> DataFrame:
     return packing.fill_report(p7_pack(spark, sf), windows)
 
 
-def _mixed(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").where("doc_id is not null")
-    keep = ("doc_id", "document_id", "source", "title", *mixing.FEATURES)
-    counted = checkpointed(with_token_counts(docs, keep=keep))
-    return mixing.mix(docs, table(spark, sf, "mix_targets"), counted)
+def _described(spark: SparkSession, sf: str) -> DataFrame:
+    return checkpointed(mixing.described(table(spark, sf, "documents").where("doc_id is not null")))
 
 
 def p8_mix(spark: SparkSession, sf: str) -> DataFrame:
-    return _mixed(spark, sf)
+    return mixing.mix(_described(spark, sf), table(spark, sf, "mix_targets"))
 
 
 def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.share_report(checkpointed(_mixed(spark, sf)), table(spark, sf, "mix_targets"))
+    return mixing.share_report(checkpointed(p8_mix(spark, sf)), table(spark, sf, "mix_targets"))
+
+
+def p8_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.classifier_report(_described(spark, sf), table(spark, sf, "mix_targets"))
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -125,7 +126,7 @@ def p9_groups(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (p1_found, p1_repaired, p2_found, p2_normalised, p3_found, p3_cleaned, p4_found, p4_pieces, p6_found, p6_sentences, p7_pack, p7_fill, p8_mix, p8_shares, p9_found, p9_shared, p9_groups)
+        for f in (p1_found, p1_repaired, p2_found, p2_normalised, p3_found, p3_cleaned, p4_found, p4_pieces, p6_found, p6_sentences, p7_pack, p7_fill, p8_mix, p8_shares, p8_classifier, p9_found, p9_shared, p9_groups)
     }
 
 

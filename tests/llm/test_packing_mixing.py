@@ -107,14 +107,17 @@ def test_token_counts(spark):
     assert abs(got[4] - len(encode(texts[4]))) <= 4 and got[5] > 0
 
 
+TARGETS = "source string, target_share double, max_repeats int"
+
+
 def test_mix_shares_and_caps(spark):
     rng = random.Random(4)
     sources = {"big": 600, "mid": 150, "small": 20, "other": 30, None: 25}
-    rows = [(i, s, f"{s} title" if s else "small title", s, rng.randint(20, 400)) for i, (s, n) in enumerate((s, n) for s, n in sources.items() for _ in range(n))]
-    rows += [(9001, "big", None, None, 0)]
-    docs = spark.createDataFrame(rows, "doc_id long, source string, title string, publisher string, n_tokens long")
-    targets = spark.createDataFrame([("big", 0.5, 1), ("mid", 0.3, 2), ("small", 0.2, 6), ("absent", 0.1, 3)], "source string, target_share double, max_repeats int")
-    mixed = mixing.mix(docs, targets, docs).cache()
+    rows = [(i, s, f"{s} title" if s else "small title", s, "word " * rng.randint(20, 400)) for i, (s, n) in enumerate((s, n) for s, n in sources.items() for _ in range(n))]
+    rows += [(9001, "big", None, None, ""), (9002, None, None, None, None)]
+    docs = mixing.described(spark.createDataFrame(rows, "doc_id long, source string, title string, publisher string, text string")).cache()
+    targets = spark.createDataFrame([("big", 0.5, 1), ("mid", 0.3, 2), ("small", 0.2, 6), ("absent", 0.1, 3)], TARGETS)
+    mixed = mixing.mix(docs, targets).cache()
     assert mixed.count() == len(rows)
     report = {r["source"]: r for r in mixing.share_report(mixed, targets).collect()}
     for s, share in (("big", 0.5), ("mid", 0.3), ("small", 0.2)):
@@ -122,4 +125,27 @@ def test_mix_shares_and_caps(spark):
         assert report[s]["most_repeats"] <= report[s]["max_repeats"]
     assert report["absent"]["actual_share"] == 0 and report["other"]["actual_share"] == 0
     assert mixed.where("source = 'other' or n_tokens = 0").agg(F.max("repeats")).first()[0] == 0
-    assert mixing.mix(docs, targets.limit(0), docs).count() == 0
+    assert mixing.mix(docs, targets.limit(0)).count() == mixing.classifier_report(docs, targets.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("telling", [True, False])
+def test_classifier_of_texts(spark, telling):
+    """Held-out accuracy where the text tells the source, and the shares where it doesn't."""
+    rng = random.Random(9)
+    words = {"a": "valve brake seal pressure".split(), "b": "lamp mirror light beam".split(), "c": "制动 灯光 座椅".split()}
+    common = "the shall be of when not".split()
+    rows = []
+    for i in range(900):
+        source = rng.choices("abc", (5, 3, 2))[0]
+        own = words[source] if telling else rng.choice(list(words.values()))
+        rows.append((i, source if i % 9 else None, " ".join(rng.choice(own if rng.random() < 0.3 else common) for _ in range(40)), source))
+    docs = mixing.described(spark.createDataFrame(rows, "doc_id long, source string, text string, true string")).cache()
+    targets = spark.createDataFrame([("a", 0.4, 2), ("b", 0.3, 2), ("c", 0.3, 2)], TARGETS)
+    report = mixing.classifier_report(docs, targets).first()
+    if not telling:
+        assert report["log_loss"] <= report["log_loss_of_shares"] + 1e-9 and report["log_loss"] > report["log_loss_of_shares"] - 0.03
+        return
+    assert report["accuracy"] > 0.95 > report["accuracy_of_shares"] + 0.3 and report["weight"] > 0.8
+    of = {r["doc_id"]: r["q"] for r in mixing.memberships(docs, ["a", "b", "c"]).collect()}
+    hidden = [(of[i], "abc".index(true)) for i, source, _, true in rows if source is None]
+    assert np.mean([q[k] >= mixing.STEPS - 1 for q, k in hidden]) > 0.9 and all(sum(q) == mixing.STEPS for q, _ in hidden)
