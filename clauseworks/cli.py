@@ -7,10 +7,11 @@ import sys
 
 from pyspark.sql import DataFrame
 
-from clauseworks.operators import collect, graph, provisions as pv, search
+from clauseworks.functions import rules
+from clauseworks.operators import checks, collect, graph, provisions as pv, quality, search
 from clauseworks.plans import catalogue, pipeline
 from clauseworks.session import local_session, table
-from clauseworks.sources import writers
+from clauseworks.sources import readers, writers
 
 TABLES = ("documents", "provisions", "requirements", "tags", "jobs")
 
@@ -18,7 +19,7 @@ TABLES = ("documents", "provisions", "requirements", "tags", "jobs")
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="clauseworks", description=__doc__)
     sub = p.add_subparsers(dest="command", required=True)
-    for name, text in (("query", "run a query of the catalogue"), ("search", "search the records"), ("compile", "split and extract"), ("export", "write all tables"), ("graph", "write the graph"), ("index", "write the dates index"), ("manifest", "count the tables")):
+    for name, text in (("query", "run a query of the catalogue"), ("search", "search the records"), ("compile", "split and extract"), ("export", "write all tables"), ("graph", "write the graph"), ("index", "write the dates index"), ("manifest", "count the tables"), ("check", "run checks; exit code 1 if one of severity error fails"), ("audit", "count issues per document"), ("validate", "list broken rules"), ("jobs", "list jobs"), ("review", "write the review manifest"), ("tag", "tag provisions and requirements")):
         c = sub.add_parser(name, help=text)
         c.add_argument("tables", help="folder of Parquet tables")
         if name == "query":
@@ -27,7 +28,12 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument("terms")
             c.add_argument("--mode", choices=search.MODES, default="all")
             c.add_argument("--limit", type=int, default=20)
-        if name in ("compile", "export", "graph", "index"):
+        if name == "check":
+            c.add_argument("checks", nargs="+", help="files of checks, JSON lines")
+            c.add_argument("--graph", action="store_true", help="also build the graph that graph checks look into")
+        if name == "jobs":
+            c.add_argument("--status", choices=rules.JOB_STATES)
+        if name in ("compile", "export", "graph", "index", "review", "tag"):
             c.add_argument("out", help="folder to write to")
     return p
 
@@ -55,6 +61,23 @@ def main(argv: list[str] | None = None) -> int:
         print(writers.graph(*graph.assemble(graph.nodes(*parts), graph.edges(*parts)), args.out))
     elif args.command == "index":
         writers.index(collect.dates_index(pv.latest_documents(t["documents"])), ("document_id", "title", "release_date", "effective_date"), "document_id", args.out)
+    elif args.command == "check":
+        parts = t["documents"], t["provisions"], t["requirements"], t["tags"]
+        both = (graph.nodes(*parts), graph.edges(*parts)) if args.graph else ()
+        results = checks.run(readers.checks(spark, *args.checks), t, *both).orderBy("id").collect()  # as many rows as checks
+        for r in results:
+            print("ok" if r["passed"] else r["severity"], r["id"], r["type"], r["category"], sep="\t")
+        return int(any(not r["passed"] and r["severity"] == "error" for r in results))
+    elif args.command == "audit":
+        show(quality.audit(t["provisions"], t["requirements"]))
+    elif args.command == "validate":
+        show(quality.validate_documents(t["documents"]).unionByName(quality.validate_provisions(t["provisions"])).unionByName(quality.validate_requirements(t["requirements"])))
+    elif args.command == "jobs":
+        show(checks.listed_jobs(t["jobs"], args.status))
+    elif args.command == "review":
+        checks.save_manifest(checks.review_manifest(t["provisions"]), args.out)
+    elif args.command == "tag":
+        pv.tagged_records(t["provisions"], t["requirements"]).write.mode("overwrite").json(args.out)
     else:
         show(collect.manifest(t))
     return 0

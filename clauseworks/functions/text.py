@@ -78,14 +78,16 @@ def table_title_lines(lines: DataFrame, key: str) -> DataFrame:
     squashed content holds the other and the row's has more than five characters.
     """
     plain = (~F.col("line").contains("|")) & (strip(F.col("line")) != "")
-    kept = F.collect_list(F.when(plain, _squashed(F.col("line")))).over(Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
     own = _squashed(F.col("line"))
     separator = F.col("line").rlike(r"(?U)^[\s|:\-]*$")
-    titles = F.slice(kept, F.greatest(F.size(kept) - 2, F.lit(1)), 3)
-    repeats = F.exists("titles", lambda t: t.contains(F.col("own")) | F.col("own").contains(t))
-    return lines.withColumns({"titles": titles, "own": own}).withColumn(
-        "repeats", F.col("line").contains("|") & ~separator & (F.length("own") > rules.TITLE_CHARS) & repeats
-    ).drop("titles", "own")
+    # a filled line knows the two filled ones before it; the last filled line's three are carried on to the rows below it
+    filled = Window.partitionBy(key, "plain").orderBy("pos")
+    above = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    known = lines.withColumns({"own": own, "plain": plain}).repartition(key)  # one exchange for both windows
+    three = F.when(F.col("plain"), F.array("own", F.lag("own", 1).over(filled), F.lag("own", 2).over(filled)))
+    known = known.withColumn("three", three).withColumn("titles", F.last("three", ignorenulls=True).over(above))
+    repeats = F.coalesce(F.exists("titles", lambda t: F.coalesce(t.contains(F.col("own")) | F.col("own").contains(t), F.lit(False))), F.lit(False))
+    return known.withColumn("repeats", F.col("line").contains("|") & ~separator & (F.length("own") > rules.TITLE_CHARS) & repeats).drop("titles", "three", "own", "plain")
 
 
 def page_noise_lines(lines: DataFrame, key: str) -> DataFrame:

@@ -53,6 +53,16 @@ def requirement_tags(requirements: DataFrame, tags: DataFrame) -> DataFrame:
     return joined.withColumns({c: F.coalesce(f"own_{c}", f"via_{c}", empty) for c in ("topics", "entities")}).drop("own_topics", "own_entities", "via_topics", "via_entities")
 
 
+#: Columns of the exported documents.
+EXPORTED = ("document_id", "title", "document_type", "standard_id", "publisher", "release_date", "effective_date", "source_url", "raw_path", "confidence", "review_status")
+
+
+def exported_documents(documents: DataFrame) -> DataFrame:
+    """One row per document as exported: absent values empty, and the whole record as JSON."""
+    rows = documents.select(*[F.coalesce(c, F.lit("")).alias(c) for c in EXPORTED])
+    return rows.withColumn("record", F.to_json(F.struct(*EXPORTED)))
+
+
 def manifest(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, n_rows) of every table."""
     out = None

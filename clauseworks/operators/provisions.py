@@ -136,6 +136,18 @@ def tagged(df: DataFrame, text: Column) -> DataFrame:
     return hits.withColumns({"topics": F.array_sort(F.map_keys("topic_keywords")), "entities": F.array_sort(F.map_keys("entity_keywords"))}).drop("_t")
 
 
+def tagged_records(provisions: DataFrame, requirements: DataFrame) -> DataFrame:
+    """(record_type, id, topics, entities) of provisions and requirements.
+
+    The id is the provision_id, where that is absent or empty the requirement_id, else empty.
+    """
+    own = F.col("requirement_id") if "requirement_id" in provisions.columns else F.lit(None).cast("string")
+    columns = ["id", "topics", "entities"]
+    p = tagged(provisions, tagging_text(F.col("text"), F.col("title"), F.col("source_text"), F.col("evidence.quote"))).withColumn("id", F.coalesce(F.nullif("provision_id", F.lit("")), own, F.lit("")))
+    r = tagged(requirements, tagging_text(F.col("evidence_quote"))).withColumn("id", F.coalesce(F.nullif("provision_id", F.lit("")), F.col("requirement_id"), F.lit("")))
+    return p.select(F.lit("provision").alias("record_type"), *columns).unionByName(r.select(F.lit("requirement").alias("record_type"), *columns))
+
+
 def merged_tags(tags: DataFrame) -> DataFrame:
     """Repeated ids as one: sorted union of topics and of entities."""
     union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(c, F.array().cast("array<string>"))))))

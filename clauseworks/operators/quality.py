@@ -106,7 +106,8 @@ def validate_documents(documents: DataFrame) -> DataFrame:
 
 
 def validate_provisions(provisions: DataFrame) -> DataFrame:
-    nth = F.row_number().over(Window.partitionBy("provision_id").orderBy("ingested_at"))
+    apart = F.when(F.col("provision_id").isNull(), F.xxhash64("label", "text"))  # rows without an id are not gathered
+    nth = F.row_number().over(Window.partitionBy("provision_id", apart).orderBy("ingested_at"))
     checks = [
         ("error", "missing provision_id", _absent("provision_id")),
         ("error", "duplicate provision_id", F.col("provision_id").isNotNull() & (F.col("_nth") > 1)),

@@ -94,7 +94,10 @@ def blank_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def table_title_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    lines = tx.lines_of(table(spark, sf, "documents").where("source_text is not null"), "doc_id", "source_text")
+    # a table under the document's title whose first row says the title again
+    titled = F.concat("source_text", F.lit("\n"), "title", F.lit("\nof\n| "), "title", F.lit(" |\n|---|"))
+    docs = table(spark, sf, "documents").withColumn("source_text", titled).where("source_text is not null")
+    lines = tx.lines_of(docs, "doc_id", "source_text")
     return tx.table_title_lines(lines, "doc_id").where("repeats").select("doc_id", "pos", "line")
 
 
@@ -253,6 +256,12 @@ def tag_topics(spark: SparkSession, sf: str) -> DataFrame:
     return _tagged(spark, sf).select("provision_id", F.array_join("topics", ",").alias("topics"), F.array_join("entities", ",").alias("entities"))
 
 
+@_query
+def tagged_records(spark: SparkSession, sf: str) -> DataFrame:
+    both = pv.tagged_records(table(spark, sf, "provisions"), table(spark, sf, "requirements"))
+    return both.select("record_type", "id", F.array_join("topics", ",").alias("topics"), F.array_join("entities", ",").alias("entities"))
+
+
 @_query
 def matched_keywords(spark: SparkSession, sf: str) -> DataFrame:
     exploded = _tagged(spark, sf).select("provision_id", F.explode("topic_keywords").alias("topic", "words"))
@@ -299,6 +308,11 @@ def effective_dates_index(spark: SparkSession, sf: str) -> DataFrame:
     return collect.dates_index(pv.latest_documents(table(spark, sf, "documents")))
 
 
+@_query
+def exported_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return collect.exported_documents(pv.latest_documents(table(spark, sf, "documents"))).select("document_id", "title", "publisher", F.md5("record").alias("md5"))
+
+
 @_query
 def manifest_counts(spark: SparkSession, sf: str) -> DataFrame:
     return collect.manifest(_tables(spark, sf, "documents", "provisions", "requirements", "tags", "jobs"))
@@ -328,7 +342,7 @@ def timeline(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def audit_short(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.short_provisions(table(spark, sf, "provisions"))
+    return quality.short_provisions(table(spark, sf, "provisions").withColumn("text", F.col("label")))  # the texts themselves are long
 
 
 @_query
@@ -343,7 +357,8 @@ def audit_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def audit_toc(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.toc_noise(table(spark, sf, "provisions"))
+    entry = F.concat("label", F.lit("  Scope "), F.lit(" ..... "), F.col("locator.source_offset").cast("string"))  # provisions as a table of contents lists them
+    return quality.toc_noise(table(spark, sf, "provisions").withColumn("text", entry))
 
 
 @_query
@@ -393,7 +408,7 @@ def validation_totals(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def search_substring(spark: SparkSession, sf: str) -> DataFrame:
     t = _tables(spark, sf, "documents", "provisions", "requirements")
-    return search.substring_search(t["documents"], t["provisions"], t["requirements"], "BRAKE", 40)
+    return search.substring_search(t["documents"], t["provisions"], t["requirements"], "BEARING", 40)
 
 
 def _mode(mode: str, query: str, **options) -> Query:
@@ -445,6 +460,12 @@ def graph_edges(spark: SparkSession, sf: str) -> DataFrame:
     return _graph(spark, sf)[1]
 
 
+@_query
+def graph_props(spark: SparkSession, sf: str) -> DataFrame:
+    t = _tables(spark, sf, "documents", "provisions", "requirements")
+    return graph.node_props(t["documents"], t["provisions"], t["requirements"]).select("id", "type", F.explode("props").alias("name", "value"))
+
+
 @_query
 def graph_assembled(spark: SparkSession, sf: str) -> DataFrame:
     return graph.assemble(*map(checkpointed, _graph(spark, sf)))[1].groupBy("type").agg(F.count(F.lit(1)).alias("n"))
@@ -505,6 +526,28 @@ def checks_run(spark: SparkSession, sf: str) -> DataFrame:
     return checks.run(_checks(spark, sf), _tables(spark, sf, "documents", "provisions", "requirements", "tags"))
 
 
+@_query
+def checks_more(spark: SparkSession, sf: str) -> DataFrame:
+    """The checks that count, search and look into the graph, and those with further conditions."""
+    t = _tables(spark, sf, "documents", "provisions", "requirements", "tags", "jobs")
+    docs = t["documents"].where("document_id is not null").select("document_id").distinct()
+    make = lambda name, kind, **e: F.struct(name.alias("id"), F.lit(kind).alias("type"), F.create_map(*[x for k, v in e.items() for x in (F.lit(k), v if not isinstance(v, str) else F.lit(v))]).alias("expected"))
+    d, named = F.col("document_id"), lambda prefix: F.concat(F.lit(prefix + ":"), "document_id")
+    each = docs.select(F.explode(F.array(
+        make(named("label"), "evidence_quote_exists", document_id=d, quote_substring="shall", label="2.1"), make(named("within"), "evidence_quote_exists", document_id=d, quote_substring="shall", label="2-1"),
+        make(named("id"), "evidence_quote_exists", document_id=d, quote_substring="shall", id=F.concat("document_id", F.lit("-1"))),
+        make(named("node"), "graph_node_exists", id=d, type="Document"), make(named("other"), "graph_node_exists", id=d, type="Topic"), make(named("edge"), "graph_edge_exists", source=d, target=F.concat("document_id", F.lit("-1")), type="HAS_PROVISION"),
+    )).alias("c")).select("c.*")
+    numbers = t["documents"].where("standard_id is not null").select(F.col("standard_id").alias("document_id")).distinct()
+    by_number = numbers.select(make(named("number"), "metadata_field_equals", document_id=d, field="document_type", value="standard").alias("c")).select("c.*")
+    fixed = [
+        ("keyword", "keyword_search", {"keyword": "制动", "min_count": "1"}), ("no keyword", "keyword_search", {"keyword": "zzzz", "min_count": "1"}), ("table", "sqlite_table_row_count", {"table": "jobs", "min_count": "1"}), ("no table", "sqlite_table_row_count", {"table": "none"}),
+        ("hits", "sqlite_fts_result", {"query": "制动", "mode": "provisions", "min_count": "20"}), ("more hits than the limit", "sqlite_fts_result", {"query": "制动", "mode": "provisions", "min_count": "21"}), ("whole graph", "graph_edge_integrity", {}),
+    ]
+    every = each.unionByName(by_number).unionByName(spark.createDataFrame(fixed, "id string, type string, expected map<string,string>")).withColumn("severity", F.lit("warn"))
+    return checks.run(checkpointed(every), t, *map(checkpointed, _graph(spark, sf)))
+
+
 @_query
 def check_totals(spark: SparkSession, sf: str) -> DataFrame:
     return checks.totals(checks_run(spark, sf))
@@ -531,6 +574,37 @@ def review_missing(spark: SparkSession, sf: str) -> DataFrame:
     return checks.promote(wanted, table(spark, sf, "provisions"))[1]
 
 
+@_query
+def review_pages(spark: SparkSession, sf: str) -> DataFrame:
+    p = table(spark, sf, "provisions")
+    done = checks.promote(checks.mark_reviewed(checks.review_manifest(p), _reviewed(spark, sf)), p)[0]
+    return checks.reviewed_pages(done, p).select("provision_id", F.md5("page").alias("md5"))
+
+
+def _restarted(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The jobs after every pending one and one that doesn't exist are set to running."""
+    jobs = table(spark, sf, "jobs")
+    changes = checks.listed_jobs(jobs, "pending").select("job_id", F.lit("running").alias("status"), F.lit(None).cast("string").alias("error"))
+    absent = spark.createDataFrame([("no such job", "running", None)], changes.schema)
+    return checks.updated_jobs(jobs, changes.unionByName(absent), "2099-01-01T00:00:00Z")
+
+
+@_query
+def job_updates(spark: SparkSession, sf: str) -> DataFrame:
+    return checks.listed_jobs(_restarted(spark, sf)[0], "running")
+
+
+@_query
+def jobs_not_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _restarted(spark, sf)[1]
+
+
+@_query
+def job_creation(spark: SparkSession, sf: str) -> DataFrame:
+    new = table(spark, sf, "documents").where("raw_path is not null").groupBy(F.concat(F.lit("import:"), "raw_path").alias("job_id"), F.col("raw_path").alias("input")).agg(F.lit("pdf").alias("input_type"))
+    return checks.listed_jobs(checks.created_jobs(table(spark, sf, "jobs"), new, "2099-01-01T00:00:00Z"), "pending")
+
+
 @_query
 def latest_job_state(spark: SparkSession, sf: str) -> DataFrame:
     return checks.latest_jobs(table(spark, sf, "jobs")).select("job_id", "status", "created_at", "updated_at")

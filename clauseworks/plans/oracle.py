@@ -96,6 +96,8 @@ _REFS = """
 """
 _MERGED = "(SELECT id, coalesce(list_sort(list_distinct(flatten(list(coalesce(topics, []))))), []) AS topics, coalesce(list_sort(list_distinct(flatten(list(coalesce(entities, []))))), []) AS entities FROM tags WHERE id IS NOT NULL GROUP BY id)"
 _LINES = "(SELECT doc_id, unnest(string_split(source_text, chr(10))) AS line, generate_subscripts(string_split(source_text, chr(10)), 1) - 1 AS pos FROM documents WHERE source_text IS NOT NULL)"
+_TITLED = """(SELECT doc_id, unnest(string_split(body, chr(10))) AS line, generate_subscripts(string_split(body, chr(10)), 1) - 1 AS pos
+    FROM (SELECT doc_id, source_text || chr(10) || title || chr(10) || 'of' || chr(10) || '| ' || title || ' |' || chr(10) || '|---|' AS body FROM documents) WHERE body IS NOT NULL)"""
 _TOPICS = {
     "seats": "座椅 座垫 靠背 头枕 安全带", "braking-system": "制动 刹车 制动液 制动盘 abs", "lighting-system": "灯光 前照灯 尾灯 转向灯 倒车灯 牌照灯 示廓灯",
     "vehicle-dimensions": "长 宽 高 尺寸 轴距 轮距 外廓", "school-bus": "校车 学生客车 学童",
@@ -175,7 +177,7 @@ def _in(term: str, *cols: str) -> str:
 
 _P, _D, _R = ("label", "title", "text"), ("title", "raw_path"), ("modality", "subject", "action", "object", "evidence_quote")
 _LATEST_JOB = "(SELECT * FROM jobs WHERE job_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY coalesce(updated_at, created_at) DESC NULLS LAST, status DESC, error DESC NULLS LAST, input DESC NULLS LAST) = 1)"
-_MANIFEST = """(SELECT provision_id, max(label) AS label, max(confidence) AS confidence,
+_MANIFEST = """(SELECT provision_id, max(label) AS label, max(title) AS title, max(concat_ws('@', locator.label, locator.source_offset::VARCHAR)) AS locator, max(confidence) AS confidence,
         max(CASE WHEN length(coalesce(evidence.quote, '')) > 120 THEN left(evidence.quote, 120) || '...' ELSE coalesce(evidence.quote, '') END) AS short_quote
     FROM provisions WHERE provision_id IS NOT NULL GROUP BY provision_id)"""
 _REVIEWED = "(SELECT DISTINCT provision_id FROM requirements WHERE review_status = 'reviewed' AND provision_id IS NOT NULL)"
@@ -224,7 +226,7 @@ def statements() -> dict[str, str]:
         "unwrap_brackets": r"SELECT provision_id, md5(c) AS md5, length(c) AS n FROM (SELECT provision_id, regexp_replace(text, '\[([一-鿿\x{3000}-\x{303f}\x{ff00}-\x{ffef}—‘’“”,./\-、，。：；！？;:)+]+\n?)\]|(\[[^\]]+\])', '\1\2', 'g') AS c FROM provisions)",
         "blank_lines": f"SELECT doc_id, md5(c) AS md5, length(c) AS n FROM (SELECT doc_id, {_strip("regexp_replace(source_text, '\\n{3,}', chr(10) || chr(10), 'g')")} AS c FROM documents)",
         "table_title_dedup": f"""
-            WITH l AS (SELECT *, regexp_replace(line, '[\\s\\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}|]+', '', 'g') AS own, NOT contains(line, '|') AND {_strip("line")} <> '' AS plain FROM {_LINES}),
+            WITH l AS (SELECT *, regexp_replace(line, '[\\s\\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}|]+', '', 'g') AS own, NOT contains(line, '|') AND {_strip("line")} <> '' AS plain FROM {_TITLED}),
             k AS (SELECT *, list(own) FILTER (plain) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS kept FROM l)
             SELECT doc_id, pos::INT AS pos, line FROM k WHERE contains(line, '|') AND NOT regexp_matches(line, '^[\\s|:-]*$') AND length(own) > 5
               AND len(list_filter(coalesce(kept, [])[-3:], lambda t: contains(t, own) OR contains(own, t))) > 0""",
@@ -282,6 +284,10 @@ def statements() -> dict[str, str]:
             UNION ALL SELECT 'provision', id, copies, unnest(range(2, copies + 1)) FROM (SELECT provision_id AS id, count(*) AS copies FROM provisions WHERE provision_id IS NOT NULL GROUP BY provision_id HAVING count(*) > 1)
             UNION ALL SELECT 'requirement', id, copies, unnest(range(2, copies + 1)) FROM (SELECT requirement_id AS id, count(*) AS copies FROM requirements WHERE requirement_id IS NOT NULL GROUP BY requirement_id HAVING count(*) > 1)""",
         "effective_dates_index": f"SELECT *, '| ' || document_id || ' | ' || title || ' | ' || release_date || ' | ' || effective_date || ' |' AS line FROM (SELECT document_id, coalesce(title, 'unknown') AS title, coalesce(nullif(release_date, ''), '—') AS release_date, coalesce(nullif(effective_date, ''), '—') AS effective_date FROM {_LAST})",
+        "exported_documents": f"""SELECT document_id, title, publisher, md5(to_json(r)::VARCHAR) AS md5 FROM (SELECT document_id, coalesce(title, '') AS title, coalesce(publisher, '') AS publisher, struct_pack({', '.join(f"{c} := coalesce({c}, '')" for c in
+            ("document_id", "title", "document_type", "standard_id", "publisher", "release_date", "effective_date", "source_url", "raw_path", "confidence", "review_status"))}) AS r FROM {_LAST})""",
+        "tagged_records": f"""SELECT 'provision' AS record_type, coalesce(nullif(provision_id, ''), '') AS id, {_tags(_TOPICS)} AS topics, {_tags(_ENTITIES)} AS entities FROM (SELECT provision_id, {_BODY} AS body FROM provisions)
+            UNION ALL SELECT 'requirement', coalesce(nullif(provision_id, ''), requirement_id, ''), {_tags(_TOPICS)}, {_tags(_ENTITIES)} FROM (SELECT provision_id, requirement_id, lower(coalesce(evidence_quote, '')) AS body FROM requirements)""",
         "manifest_counts": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in ("documents", "provisions", "requirements", "tags", "jobs")),
         "duplicate_fingerprint": "SELECT sha256(text) AS sha256, count(*) AS n_rows, min(doc_id) AS first_id FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
         "provision_pages": """
@@ -289,10 +295,10 @@ def statements() -> dict[str, str]:
             FROM (SELECT provision_id, max(review_status) AS review_status, max(label) AS label, max(text) AS text FROM provisions WHERE provision_id IS NOT NULL GROUP BY provision_id) p
             LEFT JOIN (SELECT provision_id, string_agg('- ' || requirement_id || ': ' || modality, chr(10) ORDER BY requirement_id) AS items FROM (SELECT requirement_id, max(provision_id) AS provision_id, max(modality) AS modality FROM requirements GROUP BY requirement_id) GROUP BY provision_id) r ON r.provision_id = p.provision_id""",
         "timeline": f"SELECT left(day, 7) AS month, event, count(*) AS n FROM (SELECT 'release' AS event, release_date AS day FROM {_LAST} UNION ALL SELECT 'effective', effective_date FROM {_LAST}) WHERE day IS NOT NULL GROUP BY ALL",
-        "audit_short": _SHORT,
+        "audit_short": f"SELECT document_id, provision_id, length({_strip("coalesce(label, '')")}) AS n_chars FROM provisions WHERE length({_strip("coalesce(label, '')")}) < 5",
         "audit_fallback": _FALLBACK,
         "audit_duplicates": _DUPLICATES,
-        "audit_toc": f"SELECT * FROM ({_TOC}) WHERE reason IS NOT NULL",
+        "audit_toc": f"SELECT * FROM ({_TOC.replace('FROM provisions', "FROM (SELECT * REPLACE (label || '  Scope  ..... ' || locator.source_offset AS text) FROM provisions)")}) WHERE reason IS NOT NULL",
         "audit_density": "SELECT p.document_id, n_provisions, coalesce(n_requirements, 0) AS n_requirements, coalesce(n_requirements, 0) > 2.0 * n_provisions AS dense FROM (SELECT document_id, count(*) AS n_provisions FROM provisions WHERE document_id IS NOT NULL GROUP BY document_id) p LEFT JOIN (SELECT document_id, count(*) AS n_requirements FROM requirements GROUP BY document_id) r ON r.document_id = p.document_id",
         "audit_weak_evidence": _WEAK,
         "audit_total": f"""
@@ -310,10 +316,10 @@ def statements() -> dict[str, str]:
         "validation_totals": f"SELECT level, count(*) AS n FROM ({_FINDINGS_D} UNION ALL {_FINDINGS_P} UNION ALL {_FINDINGS_R}) GROUP BY level",
         "search_substring": f"""
             SELECT * FROM (
-                SELECT DISTINCT 0 AS kind_order, document_id AS id, CASE WHEN {_in('brake', 'title')} THEN 'title' WHEN {_in('brake', 'document_id')} THEN 'document_id' WHEN {_in('brake', 'standard_id')} THEN 'standard_id' END AS matched_field,
-                    left(CASE WHEN {_in('brake', 'title')} THEN title WHEN {_in('brake', 'document_id')} THEN document_id ELSE standard_id END, 200) AS hit_text FROM documents
-                UNION SELECT DISTINCT 1, provision_id, CASE WHEN {_in('brake', 'label')} THEN 'label' WHEN {_in('brake', 'text')} THEN 'text' END, left(CASE WHEN {_in('brake', 'label')} THEN label ELSE text END, 200) FROM provisions
-                UNION SELECT DISTINCT 2, requirement_id, CASE WHEN {_in('brake', 'evidence_quote')} THEN 'evidence_quote' END, left(evidence_quote, 200) FROM requirements
+                SELECT DISTINCT 0 AS kind_order, document_id AS id, CASE WHEN {_in('bearing', 'title')} THEN 'title' WHEN {_in('bearing', 'document_id')} THEN 'document_id' WHEN {_in('bearing', 'standard_id')} THEN 'standard_id' END AS matched_field,
+                    left(CASE WHEN {_in('bearing', 'title')} THEN title WHEN {_in('bearing', 'document_id')} THEN document_id ELSE standard_id END, 200) AS hit_text FROM documents
+                UNION SELECT DISTINCT 1, provision_id, CASE WHEN {_in('bearing', 'label')} THEN 'label' WHEN {_in('bearing', 'text')} THEN 'text' END, left(CASE WHEN {_in('bearing', 'label')} THEN label ELSE text END, 200) FROM provisions
+                UNION SELECT DISTINCT 2, requirement_id, CASE WHEN {_in('bearing', 'evidence_quote')} THEN 'evidence_quote' END, left(evidence_quote, 200) FROM requirements
             ) WHERE matched_field IS NOT NULL AND id IS NOT NULL ORDER BY kind_order, id, matched_field, hit_text LIMIT 40""",
         "search_documents": _hits("documents", "document_id", "title", _in("标志", *_D)),
         "search_provisions": _hits("provisions", "provision_id", "text", f"{_in('制动', *_P)} AND {_in('隔热', *_P)}"),
@@ -342,7 +348,7 @@ def statements() -> dict[str, str]:
         "graph_version_chain": """
             WITH RECURSIVE step AS (SELECT DISTINCT document_id, replaces FROM documents WHERE document_id IS NOT NULL AND replaces IS NOT NULL),
             reached AS (SELECT document_id, replaces AS ancestor, 1 AS steps, [document_id, replaces] AS path FROM step WHERE document_id <> replaces
-                UNION ALL SELECT r.document_id, s.replaces, r.steps + 1, list_append(r.path, s.replaces) FROM reached r JOIN step s ON s.document_id = r.ancestor WHERE r.steps < 8 AND NOT list_contains(r.path, s.replaces))
+                UNION ALL SELECT r.document_id, s.replaces, r.steps + 1, list_append(r.path, s.replaces) FROM reached r JOIN step s ON s.document_id = r.ancestor WHERE NOT list_contains(r.path, s.replaces))
             SELECT document_id, ancestor, min(steps) AS steps FROM reached GROUP BY ALL""",
         "graph_citations": r"""
             WITH n AS (SELECT DISTINCT regexp_replace(upper(standard_id), '[\s —–-]+', '', 'g') AS number, document_id FROM documents WHERE standard_id IS NOT NULL AND document_id IS NOT NULL),
@@ -354,6 +360,42 @@ def statements() -> dict[str, str]:
         "review_mark": f"SELECT m.*, CASE WHEN r.provision_id IS NOT NULL THEN 'reviewed' ELSE 'pending' END AS review_status FROM {_MANIFEST} m LEFT JOIN {_REVIEWED} r ON r.provision_id = m.provision_id",
         "review_promote": f"SELECT m.provision_id, m.label, 'reviewed' AS review_status FROM {_MANIFEST} m JOIN {_REVIEWED} r ON r.provision_id = m.provision_id",
         "review_missing": f"SELECT r.provision_id FROM {_REVIEWED} r WHERE r.provision_id NOT IN (SELECT provision_id FROM provisions WHERE provision_id IS NOT NULL)",
+        "review_pages": f"""SELECT m.provision_id, md5('---' || chr(10) || 'provision_id: ' || m.provision_id || chr(10) || 'review_status: reviewed' || chr(10) || '---' || chr(10) || chr(10) || '# ' || coalesce(m.label, '') || chr(10) || chr(10) || coalesce(p.text, '')) AS md5
+            FROM {_MANIFEST} m JOIN {_REVIEWED} r ON r.provision_id = m.provision_id JOIN (SELECT provision_id, max(text) AS text FROM provisions GROUP BY provision_id) p ON p.provision_id = m.provision_id""",
+        "job_updates": f"SELECT job_id, input_type, input, 'running' AS status, created_at, CASE status WHEN 'pending' THEN '2099-01-01T00:00:00Z' ELSE updated_at END AS updated_at, error FROM {_LATEST_JOB} WHERE status IN ('pending', 'running')",
+        "jobs_not_found": "SELECT 'no such job' AS job_id",
+        "job_creation": f"""SELECT job_id, input_type, input, status, created_at, updated_at, error FROM {_LATEST_JOB} WHERE status = 'pending'
+            UNION ALL SELECT DISTINCT 'import:' || raw_path, 'pdf', raw_path, 'pending', '2099-01-01T00:00:00Z', '2099-01-01T00:00:00Z', NULL FROM documents WHERE raw_path IS NOT NULL""",
+        "graph_props": " UNION ALL ".join(
+            f"SELECT {key} AS id, '{kind}' AS type, unnest([{', '.join(f"'{c}'" for c in cols.split())}]) AS name, unnest([{', '.join(f"coalesce(max({c}), '')" for c in cols.split())}]) AS value FROM {name} WHERE {key} IS NOT NULL GROUP BY {key}"
+            for kind, name, key, cols in (
+                ("Document", "documents", "document_id", "title document_type standard_id publisher confidence review_status"), ("Provision", "provisions", "provision_id", "label kind title confidence review_status"), ("Requirement", "requirements", "requirement_id", "modality confidence review_status"),
+            )
+        ),
+        "checks_more": f"""
+            WITH {_NODES}, {_EDGES}, d AS (SELECT DISTINCT document_id FROM documents WHERE document_id IS NOT NULL),
+            q AS (SELECT document_id, provision_id AS own_id, label AS own_label, '' AS provision_of, concat_ws(chr(1), text, title, evidence.quote) AS body FROM provisions
+                UNION ALL SELECT document_id, requirement_id, NULL, coalesce(provision_id, ''), coalesce(evidence_quote, '') FROM requirements),
+            s AS (SELECT * FROM q WHERE contains(body, 'shall') AND document_id IS NOT NULL),
+            n AS (SELECT k.standard_id, arg_min(struct_pack(v := x.document_type), x.doc_id).v AS v FROM (SELECT DISTINCT standard_id FROM documents WHERE standard_id IS NOT NULL) k JOIN documents x ON x.standard_id = k.standard_id OR x.document_id = k.standard_id GROUP BY ALL),
+            texts AS (SELECT unnest([text, title, evidence.quote]) AS body FROM provisions UNION ALL SELECT evidence_quote FROM requirements),
+            results AS (
+                SELECT 'label:' || document_id AS id, 'evidence_quote_exists' AS type, 'citation_missing' AS category, document_id IN (SELECT document_id FROM s WHERE own_label = '2.1' OR contains(provision_of, '2.1')) AS passed FROM d
+                UNION ALL SELECT 'within:' || document_id, 'evidence_quote_exists', 'citation_missing', document_id IN (SELECT document_id FROM s WHERE own_label = '2-1' OR contains(provision_of, '2-1')) FROM d
+                UNION ALL SELECT 'id:' || document_id, 'evidence_quote_exists', 'citation_missing', document_id IN (SELECT document_id FROM s WHERE own_id = document_id || '-1') FROM d
+                UNION ALL SELECT 'node:' || document_id, 'graph_node_exists', 'export_graph', TRUE FROM d
+                UNION ALL SELECT 'other:' || document_id, 'graph_node_exists', 'export_graph', FALSE FROM d
+                UNION ALL SELECT 'edge:' || document_id, 'graph_edge_exists', 'export_graph', (document_id, document_id || '-1') IN (SELECT (source, target) FROM edges WHERE type = 'HAS_PROVISION') FROM d
+                UNION ALL SELECT 'number:' || standard_id, 'metadata_field_equals', 'metadata_mismatch', v IS NOT DISTINCT FROM 'standard' FROM n
+                UNION ALL SELECT 'keyword', 'keyword_search', 'missed_provision', (SELECT count(*) > 0 FROM texts WHERE contains(body, '制动'))
+                UNION ALL SELECT 'no keyword', 'keyword_search', 'missed_provision', (SELECT count(*) > 0 FROM texts WHERE contains(body, 'zzzz'))
+                UNION ALL SELECT 'table', 'sqlite_table_row_count', 'export_sqlite', (SELECT count(*) > 0 FROM jobs)
+                UNION ALL SELECT 'no table', 'sqlite_table_row_count', 'export_sqlite', FALSE
+                UNION ALL SELECT 'hits', 'sqlite_fts_result', 'export_sqlite', (SELECT count(*) >= 20 FROM ({_hits("provisions", "provision_id", "text", _in("制动", *_P))}))
+                UNION ALL SELECT 'more hits than the limit', 'sqlite_fts_result', 'export_sqlite', FALSE
+                UNION ALL SELECT 'whole graph', 'graph_edge_integrity', 'export_graph', NOT EXISTS (SELECT 1 FROM edges WHERE source NOT IN (SELECT id FROM nodes) OR target NOT IN (SELECT id FROM nodes))
+            )
+            SELECT id, type, category, 'warn' AS severity, passed FROM results""",
         "latest_job_state": f"SELECT job_id, status, created_at, updated_at FROM {_LATEST_JOB}",
         "job_counts": f"SELECT status, count(*) AS n FROM {_LATEST_JOB} GROUP BY status",
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,12 +34,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and read it from there.
 
     The folder is the one in ``spark.checkpoint.dir``; only where that is unset
-    (tests, a laptop) a temporary folder is used. Unlike a local checkpoint the
-    files survive the loss of an executor.
+    (tests, a laptop) and the master is local a temporary folder is used; on a
+    cluster that is an error. Unlike a local checkpoint the files survive the loss
+    of an executor.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.match(r"local(?:\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="clauseworks-checkpoint-"))
     return df.checkpoint(eager=True)

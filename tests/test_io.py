@@ -63,3 +63,19 @@ def test_streaming(spark, tmp_path):
         q.awaitTermination(60)
     assert spark.read.parquet(f"{out}/provisions").count() == 4
     assert spark.read.parquet(f"{out}/requirements").count() == 2
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import json
+
+    from clauseworks import cli
+
+    sf = "/root/testdata/sf0.001"
+    good, bad = tmp_path / "good.jsonl", tmp_path / "bad.jsonl"
+    rows = [{"id": "n", "type": "sqlite_table_row_count", "expected": {"table": "documents", "min_count": 1}}, {"id": "w", "type": "sqlite_table_row_count", "severity": "warn", "expected": {"table": "none"}}]
+    good.write_text("\n".join(map(json.dumps, rows)))
+    bad.write_text(json.dumps({"id": "x", "type": "keyword_search", "expected": {"keyword": "zzzz", "min_count": 1}}))
+    assert cli.main(["check", sf, str(good)]) == 0 and "warn\tw" in capsys.readouterr().out
+    assert cli.main(["check", sf, str(good), str(bad)]) == 1 and "error\tx" in capsys.readouterr().out
+    assert cli.main(["jobs", sf, "--status", "failed"]) == 0 and "failed" in capsys.readouterr().out
+    assert cli.main(["review", sf, str(tmp_path / "m")]) == 0 and spark.read.json(str(tmp_path / "m")).count() > 0

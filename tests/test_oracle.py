@@ -34,9 +34,9 @@ def test_query(spark, duck, name):
     df = catalogue.queries()[name](spark, SF)
     cols = sorted(df.columns)
     got = sorted((plain(tuple(r)) for r in df.select(*cols).collect()), key=repr)
+    assert len(got) > 0
     sql = catalogue.oracle_sql().get(name)
     if sql is None:
-        assert len(got) > 0
         return
     wanted = duck.sql(f"SELECT {', '.join(cols)} FROM ({sql})").fetchall()
     assert got == sorted(map(plain, wanted), key=repr)

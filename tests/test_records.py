@@ -70,6 +70,14 @@ def test_graph(t):
     assert {(r["source"], r["target"]) for r in graph.neighbours(t["provisions"]).collect()} == {("p1", "p2"), ("p2", "p3")}
 
 
+@pytest.mark.parametrize("block", [1, 7, 10**6])
+def test_neighbours_across_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(graph, "BLOCK", block)
+    at = [0, 3, 3, 8, 30, 31, None]
+    rows = spark.createDataFrame([prov(f"p{i}", at=x) for i, x in enumerate(at)] + [prov("q", doc="d2")], P)
+    assert sorted((r["source"], r["target"]) for r in graph.neighbours(rows).collect()) == [("p0", "p1"), ("p1", "p2"), ("p2", "p3"), ("p3", "p4"), ("p4", "p5"), ("p6", "p0")]
+
+
 def test_version_cycle_ends(spark):
     docs = spark.createDataFrame([(1, "a", None, None, None, "b", None, None, None), (2, "b", None, None, None, "a", None, None, None)], D)
     assert graph.version_chains(docs).count() == 2
@@ -85,18 +93,56 @@ def test_checks(spark, t):
         ("12", "sqlite_fts_result", "error", {"query": "text", "mode": "provisions", "min_count": "1"}), ("13", "keyword_search", "error", {"keyword": "te", "min_count": "9"}),
     ]
     args = t["documents"], t["provisions"], t["requirements"], t["tags"]
-    counts = spark.createDataFrame([("documents", 2), ("te", 4)], "name string, n long")
-    hits = spark.createDataFrame([("text", "provisions", 1)], "query string, mode string, n long")
-    out = checks.run(spark.createDataFrame(rows, checks.SCHEMA), t, graph.nodes(*args), graph.edges(*args), counts, hits)
+    out = checks.run(spark.createDataFrame(rows, checks.SCHEMA), t, graph.nodes(*args), graph.edges(*args))
     passed = {r["id"]: r["passed"] for r in out.collect()}
     assert passed == {"1": True, "2": False, "3": True, "4": True, "5": True, "6": False, "7": True, "8": True, "9": False, "10": True, "11": True, "12": True, "13": False}
     assert checks.totals(out).first().asDict() == {"total": 13, "n_passed": 9, "n_failed": 4}
 
 
+def test_checks_with_conditions(spark, t):
+    quote = lambda i, **e: (i, "evidence_quote_exists", None, {"document_id": "d1", **e})
+    rows = [
+        quote("label", quote_substring="ab", label="1.1"), quote("no label", quote_substring="ab", label="9"), quote("id", quote_substring="shall", id="r1"), quote("no id", quote_substring="shall", id="r2"), quote("empty", quote_substring=""),
+        quote("within", quote_substring="shall", label="p1"), ("number", "metadata_field_equals", None, {"document_id": "GB 1", "field": "title", "value": "Brake rules"}), ("field", "metadata_field_equals", None, {"document_id": "d1", "field": "none", "value": None}),
+        ("nobody", "metadata_field_equals", None, {"document_id": "zz", "field": "title", "value": None}), ("mode", "sqlite_fts_result", None, {"query": "a", "mode": "pages", "min_count": "1"}), ("all", "sqlite_fts_result", None, {"query": "shall", "min_count": "1"}),
+    ]
+    passed = {r["id"]: r["passed"] for r in checks.run(spark.createDataFrame(rows, checks.SCHEMA), t).collect()}
+    assert passed == {"label": True, "no label": False, "id": True, "no id": False, "empty": False, "within": True, "number": True, "field": True, "nobody": False, "mode": False, "all": True}
+    assert checks.run(spark.createDataFrame([], checks.SCHEMA), t).count() == 0
+
+
+def test_job_states(spark):
+    jobs = spark.createDataFrame([], ", ".join(f"{c} string" for c in checks.JOB_COLUMNS))
+    jobs = checks.created_jobs(jobs, spark.createDataFrame([("a", "pdf", "x"), ("b", "pdf", "y")], "job_id string, input_type string, input string"), "2024-01-01")
+    jobs, missing = checks.updated_jobs(jobs, spark.createDataFrame([("a", "failed", "bad"), ("z", "running", None)], "job_id string, status string, error string"), "2024-01-02")
+    assert [r[0] for r in missing.collect()] == ["z"] and checks.job(jobs, "z") is None
+    assert checks.job(jobs, "a") == {"job_id": "a", "input_type": "pdf", "input": "x", "status": "failed", "created_at": "2024-01-01", "updated_at": "2024-01-02", "error": "bad"}
+    assert [r["job_id"] for r in checks.listed_jobs(jobs, "pending").collect()] == ["b"] and checks.listed_jobs(jobs).count() == 2
+    with pytest.raises(Exception, match="unknown job status"):
+        checks.updated_jobs(jobs, spark.createDataFrame([("a", "lost", None)], "job_id string, status string, error string"), "2024-01-03")[0].collect()
+
+
+def test_manifest_round_trip_and_pages(spark, t, tmp_path):
+    manifest = checks.review_manifest(t["provisions"])
+    checks.save_manifest(manifest, str(tmp_path / "m"))
+    back = checks.load_manifest(spark, str(tmp_path / "m"))
+    assert sorted(map(tuple, back.collect())) == sorted(tuple(r) for r in manifest.select(*back.columns).collect())
+    assert {r["provision_id"]: r["locator"] for r in back.collect()}["p2"] == "1.1@5"
+    done, _ = checks.promote(checks.mark_reviewed(manifest, spark.createDataFrame([("p2",)], "provision_id string")), t["provisions"])
+    assert [tuple(r) for r in checks.reviewed_pages(done, t["provisions"]).collect()] == [("p2", "---\nprovision_id: p2\nreview_status: reviewed\n---\n\n# 1.1\n\nab")]
+
+
+def test_long_chains_and_first_nodes(spark):
+    docs = spark.createDataFrame([(i, f"d{i}", None, None, None, f"d{i + 1}", None, None, None) for i in range(12)], D)
+    assert graph.version_chains(docs).agg({"steps": "max"}).first()[0] == 12
+    nodes = spark.createDataFrame([("x", "Topic", "t"), ("x", "Document", None), ("x", "Provision", "p")], "id string, type string, name string")
+    assert [tuple(r) for r in graph.assemble(nodes, spark.createDataFrame([], "source string, target string, type string"))[0].collect()] == [("x", "Document", None)]
+
+
 def test_review_and_jobs(spark, t):
     marked = checks.mark_reviewed(checks.review_manifest(t["provisions"]), spark.createDataFrame([("p1",), ("zz",)], "provision_id string"))
     assert {r["provision_id"]: r["review_status"] for r in marked.collect()} == {"p1": "reviewed", "p2": "pending", "p3": "pending", "p4": "pending"}
-    done, missing = checks.promote(marked.union(spark.createDataFrame([("zz", None, None, None, "reviewed")], marked.schema)), t["provisions"])
+    done, missing = checks.promote(marked.union(spark.createDataFrame([("zz", None, None, None, None, None, "reviewed")], marked.schema)), t["provisions"])
     assert [r["provision_id"] for r in done.collect()] == ["p1"] and [r["provision_id"] for r in missing.collect()] == ["zz"]
     jobs = spark.createDataFrame([("j", "running", "2024-01-01", "2024-01-02", None, "i"), ("j", "completed", "2024-01-01", "2024-01-03", None, "i"), ("k", "failed", "2024-01-01", None, "e", "i")], "job_id string, status string, created_at string, updated_at string, error string, input string")
     assert {r["job_id"]: r["status"] for r in checks.latest_jobs(jobs).collect()} == {"j": "completed", "k": "failed"}
