@@ -130,6 +130,17 @@ def queries() -> dict[str, Query]:
     }
 
 
+#: All windows of 200 characters by brute force, exact copies as one class.
+_WINDOWS = """
+    t AS (SELECT DISTINCT doc_id, text FROM documents WHERE doc_id IS NOT NULL AND length(text) >= 200),
+    c AS (SELECT min(doc_id) AS rep, count(*) AS n_copies, text FROM t GROUP BY text),
+    m AS (SELECT t.doc_id, c.rep, c.n_copies, length(t.text) AS n_chars FROM t JOIN c ON c.text = t.text),
+    w AS (SELECT rep, i, hash(substr(text, i, 200)) AS k FROM (SELECT rep, text, unnest(range(1, length(text) - 198)) AS i FROM c)),
+    g AS (SELECT * FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(DISTINCT rep) > 1)),
+    p AS (SELECT DISTINCT a.rep AS x, b.rep AS y FROM (SELECT DISTINCT rep, k FROM g) a JOIN (SELECT DISTINCT rep, k FROM g) b ON a.k = b.k WHERE a.rep <> b.rep)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the results that don't hang on how a text is cut or judged."""
     return {
@@ -141,4 +152,17 @@ def oracle_sql() -> dict[str, str]:
             ) v JOIN size_limits l ON v.field_name = l.field_name
             WHERE v.n > l.max_chars AND v.rec_id IS NOT NULL
         """,
+        "p9_found": f"""
+            WITH {_WINDOWS} SELECT DISTINCT least(a.doc_id, b.doc_id) AS doc_a, greatest(a.doc_id, b.doc_id) AS doc_b
+            FROM (SELECT x, y FROM p UNION ALL SELECT rep, rep FROM c) q JOIN m a ON a.rep = q.x JOIN m b ON b.rep = q.y WHERE a.doc_id <> b.doc_id
+        """,
+        "p9_shared": f"""
+            WITH {_WINDOWS}, covered AS (
+                SELECT rep, sum(least(200, coalesce(following - i, 200))) AS n FROM (SELECT rep, i, lead(i) OVER (PARTITION BY rep ORDER BY i) AS following FROM g) GROUP BY rep
+            ), linked AS (SELECT x AS rep, count(*) AS n FROM p GROUP BY x),
+            sets AS (SELECT rep, count(DISTINCT s) AS n FROM (SELECT k, list(DISTINCT rep ORDER BY rep) AS s FROM g GROUP BY k) JOIN (SELECT DISTINCT rep, k FROM g) USING (k) GROUP BY rep)
+            SELECT m.doc_id, m.n_chars, CASE WHEN m.n_copies > 1 THEN m.n_chars ELSE coalesce(covered.n, 0) END::BIGINT AS shared_chars, m.n_copies,
+                   coalesce(sets.n, 0) AS n_groups, coalesce(linked.n, 0) AS n_linked_classes, m.rep AS class_id
+            FROM m LEFT JOIN covered USING (rep) LEFT JOIN linked USING (rep) LEFT JOIN sets USING (rep)
+        """,
     }
