@@ -159,7 +159,7 @@ _DUPLICATES = """
     GROUP BY document_id, label HAVING count(*) > 1"""
 _TOC = rf"""
     SELECT document_id, provision_id, CASE WHEN regexp_matches(coalesce(label, ''), '^目{_WS}*录$|^(?i:Contents?)$|^第[一二三四五六七八九十百千零0-9]+[篇章节]') THEN 'label'
-        WHEN regexp_matches(coalesce(text, ''), '(?m)^{_WS}*[0-9.]+{_WS}+.+{_WS}*\.{{2,}}{_WS}*[0-9]+{_WS}*$|^{_WS}*\.{{3,}}{_WS}*$') THEN 'text' END AS reason
+        WHEN regexp_matches(coalesce(text, ''), '(?m)^{_WS}*[\p{{Nd}}.]+{_WS}+.+{_WS}*\.{{2,}}{_WS}*\p{{Nd}}+{_WS}*$|^{_WS}*\.{{3,}}{_WS}*$') THEN 'text' END AS reason
     FROM provisions"""
 _WEAK = f"""
     SELECT document_id, requirement_id, CASE WHEN length({_strip("coalesce(evidence_quote, '')")}) = 0 THEN 'missing' ELSE 'short' END AS reason

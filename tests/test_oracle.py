@@ -8,6 +8,8 @@ import pytest
 from clauseworks.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
+#: Queries that have rows in the larger tables only.
+SPARSE = ("audit_weak_evidence", "review_missing")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
 
 
@@ -34,7 +36,7 @@ def test_query(spark, duck, name):
     df = catalogue.queries()[name](spark, SF)
     cols = sorted(df.columns)
     got = sorted((plain(tuple(r)) for r in df.select(*cols).collect()), key=repr)
-    assert len(got) > 0
+    assert len(got) > 0 or name in SPARSE
     sql = catalogue.oracle_sql().get(name)
     if sql is None:
         return
