@@ -384,7 +384,7 @@ class Reading:
 
 def judged(alone: DataFrame, unknown: DataFrame) -> DataFrame:
     """Units that the lexicon lacks, but for records that are no text of the corpus: FOREIGN or more words, half of all or more, unknown."""
-    left = checkpointed(alone.join(sized(unknown.select("kind", "unit")), ["kind", "unit"], "left_semi"))
+    left = checkpointed(alone.join(unknown.select("kind", "unit"), ["kind", "unit"], "left_semi"))
     n = F.count_if(F.col("kind") == misreadings.WORD)
     foreign = left.groupBy("field_name", "rec_id").agg(n.alias("n"), F.max("size").alias("size")).where((F.col("n") >= FOREIGN) & (F.col("n") * 2 >= F.col("size")))
     return left.join(foreign.select("field_name", "rec_id"), ["field_name", "rec_id"], "left_anti")
